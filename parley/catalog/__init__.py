@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from parley.runtime import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -28,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
+    """A table whose rows are costly to read; a single small file is spread over the cores."""
+    return spread(table(spark, sf_dir, name), key)
+
+
 def load() -> None:
     """Import every module that registers queries."""
-    from parley.catalog import incremental, mentions  # noqa: F401
+    from parley.catalog import incremental, mentions, sentiment  # noqa: F401

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from parley import schemas
-from parley.catalog import query, table
+from parley.catalog import query, table, texts
 from parley.operators import keys, recency, threads
 
 # The run clock of the queries.
@@ -67,7 +67,7 @@ SELECT doc_id, lang, source, n_chars FROM (
   FROM documents) WHERE rn = 1
 """)
 def dedup_first_seen(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     keyed = docs.select(
         "doc_id", "lang", "source", "n_chars", F.sha2(keys.normalised_text(F.col("text")), 256).alias("key")
     )
@@ -154,4 +154,4 @@ SELECT count(*) AS rows_checked,
 FROM documents
 """)
 def run_counters(spark, sf):
-    return recency.counters(table(spark, sf, "documents"), "text", ["trash"])
+    return recency.counters(texts(spark, sf), "text", ["trash"])

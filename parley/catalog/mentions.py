@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from parley.catalog import query, table
+from parley.catalog import query, table, texts
 from parley.operators import generate, matching
 from parley.sources import dictionary
 
@@ -23,7 +23,7 @@ _MATCH = (
 SELECT doc_id, source, {_MATCH} AS matched_phrase FROM documents WHERE {_MATCH} <> ''
 """)
 def mention_extract(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = texts(spark, sf)
     return matching.mentions(docs, "text", TERMS).select("doc_id", "source", "matched_phrase")
 
 
@@ -32,7 +32,7 @@ SELECT source, lower({_MATCH}) AS phrase, count(*) AS n
 FROM documents WHERE {_MATCH} <> '' GROUP BY 1, 2
 """)
 def mention_counts_by_source(spark, sf):
-    found = matching.mentions(table(spark, sf, "documents"), "text", TERMS)
+    found = matching.mentions(texts(spark, sf), "text", TERMS)
     return found.groupBy("source", F.lower("matched_phrase").alias("phrase")).agg(F.count("*").alias("n"))
 
 
@@ -40,11 +40,11 @@ def mention_counts_by_source(spark, sf):
 WITH tok AS (
   SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t FROM documents
 ), pos AS (
-  SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS i FROM tok
+  SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM tok
 ), spans AS (
-  SELECT doc_id, i, 1 AS n, t[i] AS term FROM pos
+  SELECT doc_id, i, 1 AS n, w AS term FROM pos
   UNION ALL
-  SELECT doc_id, i, 2, t[i] || ' ' || t[i + 1] FROM pos WHERE i < len(t)
+  SELECT doc_id, i, 2, w || ' ' || lead(w) OVER (PARTITION BY doc_id ORDER BY i) FROM pos
 )
 SELECT s.doc_id, arg_min(s.term, s.i * 10 - s.n) AS matched_phrase
 FROM spans s JOIN (SELECT DISTINCT lower(p_name) AS term FROM part
@@ -54,7 +54,7 @@ GROUP BY s.doc_id
 def mention_extract_by_join(spark, sf):
     extra = spark.createDataFrame([("worthless",), ("of the",), ("the",)], "term string")
     terms = table(spark, sf, "part").select(F.lower("p_name").alias("term")).distinct().union(extra)
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf).select("doc_id", "text")
     found = matching.mentions_by_join(docs, "doc_id", "text", terms, longest=2)
     return found.select("doc_id", "matched_phrase")
 

@@ -37,15 +37,19 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def joined_ahead(tokens: Column, i: Column, n: int) -> Column:
+    """The ``n`` tokens from position ``i`` joined by blanks; NULL where they run past the end."""
+    parts = [part for k in range(n) for part in (F.lit(" "), F.get(tokens, i + F.lit(k)))]
+    return F.concat(*parts[1:])
+
+
 def ngrams(tokens: Column, low: int = 1, high: int = 3) -> Column:
     """All n-grams of adjacent tokens, ``low`` to ``high`` tokens long, joined by a blank."""
 
     def of_length(t: Column, n: int) -> Column:
         if n == 1:
             return t
-        # a gram that runs past the end is NULL (get() is NULL out of bounds, concat keeps it)
-        ahead = lambda i: [part for k in range(1, n) for part in (F.lit(" "), F.get(t, i + F.lit(k)))]
-        return F.transform(t, lambda w, i: F.concat(w, *ahead(i)))
+        return F.transform(t, lambda w, i: joined_ahead(t, i, n))
 
     return let(tokens, lambda t: F.array_compact(F.concat(*[of_length(t, n) for n in range(low, high + 1)])))
 
@@ -61,8 +65,9 @@ def windows(tokens: Column, width: int, stride: int) -> Column:
     def of(t: Column) -> Column:
         last = F.ceil(F.size(t) / F.lit(stride)).cast("int") - 1
         starts = F.when(F.size(t) > 0, F.sequence(F.lit(0), last))
-        cut = lambda w: F.struct(w.alias("window"), F.slice(t, w * stride + 1, width).alias("items"))
-        return F.transform(starts, cut)
+        # get() is a plain index; slice() would copy the whole text's array for every window
+        items = lambda w: F.array_compact(F.array(*[F.get(t, w * stride + F.lit(k)) for k in range(width)]))
+        return F.transform(starts, lambda w: F.struct(w.alias("window"), items(w).alias("items")))
 
     return let(tokens, of)
 

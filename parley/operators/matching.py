@@ -9,8 +9,9 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parley.functions.text import WORD, let
+from parley.functions.text import WORD, joined_ahead, let
 from parley.operators.keys import first_rows, first_seen
+from parley.runtime import small_side
 
 # Above this many terms one alternation gets slow; matching goes by an equi-join instead.
 ALTERNATION_LIMIT = 2_000
@@ -56,18 +57,19 @@ def mentions_by_join(
     words.  The earliest match wins, then the longest; ``longest`` is the most words a term has.
     """
     as_words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(WORD + "+"), F.lit(0))
-    grams = let(
-        as_words(F.col(text)),
-        lambda t: F.transform(t, lambda w, i: F.struct(i.alias("at"), F.slice(t, i + 1, longest).alias("ahead"))),
+    span = lambda t, i, n: F.struct(
+        i.alias("at"), F.lit(-n).alias("shorter"), joined_ahead(t, i, n).alias("col")
     )
-    spans = df.select(key, F.inline(grams)).select(
-        key, "at", F.posexplode(F.transform("ahead", lambda w, n: F.array_join(F.slice("ahead", 1, n + 1), " ")))
+    spans = let(
+        as_words(F.col(text)),
+        lambda t: F.flatten(F.transform(t, lambda w, i: F.array(*[span(t, i, n) for n in range(1, longest + 1)]))),
     )
+    spans = df.select(key, F.inline(spans)).where(F.col("col").isNotNull())
     wanted = terms.select(F.array_join(as_words(F.col("term")), " ").alias("col")).distinct()
     best = (
-        spans.join(wanted, "col")
+        spans.join(small_side(wanted), "col")
         .groupBy(key)
-        .agg(F.min(F.struct("at", (-F.col("pos")).alias("shorter"), "col")).alias("hit"))
+        .agg(F.min(F.struct("at", "shorter", "col")).alias("hit"))
         .select(key, F.col("hit.col").alias(out))
     )
     return df.join(best, key)

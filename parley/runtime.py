@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def session(app: str = "parley", **conf: str) -> SparkSession:
@@ -19,6 +20,7 @@ def session(app: str = "parley", **conf: str) -> SparkSession:
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -52,3 +54,26 @@ def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# A table of up to this many rows may be sent to every executor.
+BROADCAST_ROWS = 500_000
+
+
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``rows`` rows, else leave the join to the planner.
+
+    The planner sizes a side by its input files, so it takes exploded text for smaller than it is;
+    this keeps the text on the streamed side.  Meant for dictionaries and materialised tables, where
+    counting is cheap.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Redistribute an input that has fewer splits than there are cores, e.g. one small file.
+
+    A large input has more splits than cores and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

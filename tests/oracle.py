@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import time
 
 import duckdb
 
@@ -38,11 +39,14 @@ def row_set(columns, rows):
     return [columns[i] for i in order], sorted((tuple(_plain(r[i]) for i in order) for r in rows), key=repr)
 
 
-def difference(df, con, sql):
-    """None when both agree, else a short text."""
+def difference(df, con, sql, finished=None):
+    """None when both agree, else a short text; notes the time the Spark side finished."""
+    rows = [tuple(r) for r in df.collect()]
+    if finished is not None:
+        finished.append(time.time())
     theirs = con.execute(sql)
     names, expected = row_set([d[0] for d in theirs.description], theirs.fetchall())
-    mine_names, mine = row_set(df.columns, [tuple(r) for r in df.collect()])
+    mine_names, mine = row_set(df.columns, rows)
     if names != mine_names:
         return f"columns {mine_names} vs {names}"
     if len(mine) != len(expected):

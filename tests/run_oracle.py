@@ -21,7 +21,8 @@ if __name__ == "__main__":
         try:
             df = catalog.QUERIES[name](spark, sf)
             if name in catalog.ORACLE:
-                result = oracle.difference(df, con, catalog.ORACLE[name]) or "ok"
+                result = oracle.difference(df, con, catalog.ORACLE[name], timing := []) or "ok"
+                result += f"   (spark {timing[0] - start:.1f}s)"
             else:
                 result = f"rows only: {len(df.collect())}"
         except Exception as error:  # report and go on with the next query
