@@ -37,4 +37,4 @@ def texts(spark: SparkSession, sf_dir: str, name: str = "documents", key: str =
 
 def load() -> None:
     """Import every module that registers queries."""
-    from parley.catalog import incremental, mentions, sentiment, terms  # noqa: F401
+    from parley.catalog import incremental, mentions, sentiment, summaries, terms  # noqa: F401

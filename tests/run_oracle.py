@@ -14,7 +14,7 @@ if __name__ == "__main__":
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     catalog.load()
     spark = runtime.session(spark__master="local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="12g")
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = oracle.connect(sf)
     for name in sys.argv[1:] or catalog.QUERIES:
         start = time.time()
@@ -26,5 +26,5 @@ if __name__ == "__main__":
             else:
                 result = f"rows only: {len(df.collect())}"
         except Exception as error:  # report and go on with the next query
-            result = f"ERROR {type(error).__name__}: {str(error)[:1500]}"
+            result = f"ERROR {type(error).__name__}: {str(error)[:500]}"
         print(f"{name:32s} {time.time() - start:6.1f}s  {result}", flush=True)
