@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parley.functions.text import flesch_reading_ease, ngrams, words_and_marks
 from parley.runtime import small_side
@@ -111,7 +112,7 @@ def rouge_n(pairs: DataFrame, n: int, reference: str = "reference", generated: s
     return scored.withColumn("f", _f1(F.col("p"), F.col("r"))).drop("_g", "_r")
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common subsequence of two word arrays, bit-parallel (Hyyro 2004)."""
 
@@ -214,16 +215,13 @@ def token_match(
 
 
 def evaluate_summaries(pairs: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row of corpus means: ROUGE-1, -2 and -L (p, r, f), BLEU, readability of the generated text."""
-    mean = lambda df, name: df.agg(*[F.avg(c).alias(f"{name}_{c}") for c in ("p", "r", "f")])
-    frames = [
-        mean(rouge_n(pairs, 1), "rouge1"),
-        mean(rouge_n(pairs, 2), "rouge2"),
-        mean(rouge_l(pairs), "rougel"),
-        corpus_bleu(pairs, key),
-        pairs.agg(F.avg(flesch_reading_ease(F.col("generated"))).alias("readability")),
-    ]
-    result = frames[0].withColumn("one", F.lit(1))
-    for frame in frames[1:]:
-        result = result.join(frame.withColumn("one", F.lit(1)), "one")
-    return result.drop("one")
+    """One row of corpus means: ROUGE-1, -2 and -L (p, r, f), readability of the generated text, BLEU.
+
+    All per-pair scores are columns of one pass; BLEU pools its own counts.
+    """
+    scored, parts = pairs, ("p", "r", "f")
+    for name, score in (("rouge1", lambda d: rouge_n(d, 1)), ("rouge2", lambda d: rouge_n(d, 2)), ("rougel", rouge_l)):
+        scored = score(scored).withColumnsRenamed({c: f"{name}_{c}" for c in parts})
+    means = [F.avg(f"{name}_{c}").alias(f"{name}_{c}") for name in ("rouge1", "rouge2", "rougel") for c in parts]
+    readable = F.avg(flesch_reading_ease(F.col("generated"))).alias("readability")
+    return scored.agg(*means, readable).withColumn("bleu", corpus_bleu(pairs, key).scalar())
