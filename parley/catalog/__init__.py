@@ -37,4 +37,13 @@ def texts(spark: SparkSession, sf_dir: str, name: str = "documents", key: str =
 
 def load() -> None:
     """Import every module that registers queries."""
-    from parley.catalog import evaluate, incremental, mentions, sentiment, summaries, terms, vectors  # noqa: F401
+    from parley.catalog import (  # noqa: F401
+        evaluate,
+        incremental,
+        mentions,
+        pipeline,
+        sentiment,
+        summaries,
+        terms,
+        vectors,
+    )

@@ -42,7 +42,12 @@ def joined_chunks(
     blocks = texts.groupBy("topic", "block").agg(F.sum("span").alias("span"))
     earlier = Window.partitionBy("topic").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("topic", "block", F.coalesce(F.sum("span").over(earlier), F.lit(0)).alias("base"))
-    inside = Window.partitionBy("topic", "block").orderBy("ord").rowsBetween(Window.unboundedPreceding, -1)
+    # equal order values are told apart by their text, so a repeated task finds the same order
+    inside = (
+        Window.partitionBy("topic", "block")
+        .orderBy("ord", F.xxhash64("text"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     placed = texts.withColumn("within", F.coalesce(F.sum("span").over(inside), F.lit(0))).join(
         blocks, ["topic", "block"]
     )

@@ -3,38 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.functions.patterns import alternation, leftmost_match
 from parley.functions.text import WORD, joined_ahead, let
 from parley.operators.keys import first_rows, first_seen
+from parley.operators.recency import moment
 from parley.runtime import small_side
 
+# The columns of an extracted comment, in order.
+EXTRACTED = ("subreddit", "post_title", "comment_id", "comment_date", "comment", "matched_phrase", "upvotes")
+
 # Above this many terms one alternation gets slow; matching goes by an equi-join instead.
 ALTERNATION_LIMIT = 2_000
 
 
-def alternation(terms: Iterable[str], literal: bool = True, ignore_case: bool = True) -> str:
-    """One regex for all terms, longest first, on word boundaries.
-
-    ``literal=False`` keeps regex characters in the terms alive.
-    """
-    ordered = sorted(set(terms), key=lambda t: (-len(t), t))
-    flags = "iuU" if ignore_case else "uU"
-    if literal:
-        body = "|".join(re.sub(r"([^\w\s])", r"\\\1", t) for t in ordered)
-        return f"(?{flags})(?<!{WORD})(?:{body})(?!{WORD})"
-    return f"(?{flags})" + "|".join(rf"\b{t}\b" for t in ordered)
-
-
-def leftmost_match(text: Column, pattern: str) -> Column:
-    """The earliest match as it stands in the text; NULL without one."""
-    return F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
-
-
 def term_list(terms: DataFrame, limit: int = ALTERNATION_LIMIT) -> list[str] | None:
     """The terms as a Python list, or None when there are more than ``limit``."""
     rows = terms.select("term").limit(limit + 1).collect()
@@ -82,7 +68,7 @@ def map_to_owners(matched: DataFrame, owners: DataFrame, phrase: str = "matched_
 
 def flatten_posts(posts: DataFrame, run_ts: dt.datetime, max_age: dt.timedelta = dt.timedelta(days=1)) -> DataFrame:
     """One row per comment of the posts not older than ``max_age``; old posts go before the unnest."""
-    young = posts.where(F.timestamp_seconds("created_utc") >= F.lit(run_ts - max_age))
+    young = posts.where(F.timestamp_seconds("created_utc") >= moment(run_ts - max_age))
     return young.select(
         "subreddit",
         F.col("post_id"),
@@ -98,6 +84,12 @@ def flatten_posts(posts: DataFrame, run_ts: dt.datetime, max_age: dt.timedelta =
     )
 
 
+def matching_comments(posts: DataFrame, terms: Sequence[str], last_run: dt.datetime, run_ts: dt.datetime) -> DataFrame:
+    """Comments of young posts, newer than ``last_run``, that mention a term; map-only."""
+    fresh = flatten_posts(posts, run_ts).where(F.col("comment_date") > moment(last_run))
+    return mentions(fresh, "comment", terms)
+
+
 def extract_comments(
     posts: DataFrame,
     terms: Sequence[str],
@@ -105,15 +97,11 @@ def extract_comments(
     run_ts: dt.datetime,
     target: int | None = None,
 ) -> DataFrame:
-    """Comments newer than ``last_run`` that mention a term, once each, newest posts first.
+    """The matching comments once each, newest posts first.
 
     ``target`` is the exact number of matches to keep, over all subreddits in order.
     """
-    fresh = flatten_posts(posts, run_ts).where(F.col("comment_date") > F.lit(last_run))
-    found = mentions(fresh, "comment", terms)
     order = ["subreddit", F.desc("post_created"), "post_id", "position"]
-    once = first_seen(found, ["comment_id"], order)
+    once = first_seen(matching_comments(posts, terms, last_run, run_ts), ["comment_id"], order)
     kept = first_rows(once, order, target) if target is not None else once
-    return kept.select(
-        "subreddit", "post_title", "comment_id", "comment_date", "comment", "matched_phrase", "upvotes"
-    )
+    return kept.select(*EXTRACTED)

@@ -13,16 +13,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parley.operators.matching import alternation
+from parley.functions.patterns import alternation
 
 # Formats of stored and exchanged time stamps.
 STAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
-def _bound(df: DataFrame, column: str, moment: dt.datetime) -> Column:
-    kind = df.schema[column].dataType
-    return F.lit(str(moment)).cast(kind) if isinstance(kind, T.TimestampNTZType) else F.lit(moment)
+def moment(at: dt.datetime, kind: T.DataType | str = "timestamp") -> Column:
+    """A clock time as a literal, read in the session time zone."""
+    return F.lit(str(at)).cast(kind)
+
+
+def _bound(df: DataFrame, column: str, at: dt.datetime) -> Column:
+    return moment(at, df.schema[column].dataType)
 
 
 def newer_than(df: DataFrame, column: str, last_run: dt.datetime) -> DataFrame:
@@ -67,12 +71,12 @@ def observed(df: DataFrame, name: str, matched: Column):
     return df.observe(seen, F.count(F.lit(1)).alias("checked"), F.count_if(matched).alias("collected")), seen
 
 
-def stamp(moment: Column) -> Column:
-    return F.date_format(moment, STAMP_FORMAT)
+def stamp(at: Column) -> Column:
+    return F.date_format(at, STAMP_FORMAT)
 
 
-def iso(moment: Column) -> Column:
-    return F.date_format(moment, ISO_FORMAT)
+def iso(at: Column) -> Column:
+    return F.date_format(at, ISO_FORMAT)
 
 
 def parse_stamp(text: Column) -> Column:
@@ -84,5 +88,5 @@ def from_epoch(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
-def days_before(moment: Column, n: int) -> Column:
-    return moment - F.make_interval(days=F.lit(n))
+def days_before(at: Column, n: int) -> Column:
+    return at - F.make_interval(days=F.lit(n))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from parley import schemas
 from parley.operators.keys import first_seen, not_stored
+from parley.operators.recency import moment
 
 # Default start when no run has been recorded.
 DEFAULT_START = dt.timedelta(days=1)
@@ -82,7 +83,7 @@ class Store:
     def recent_comments(self, run_ts: dt.datetime, n_days: int = 7) -> DataFrame:
         """Comments dated ``run_ts - n_days`` or later; whole days are pruned by the partition column."""
         since = run_ts - dt.timedelta(days=n_days)
-        kept = (F.col("day") >= F.lit(since.date())) & (F.col("comment_date") >= F.lit(since))
+        kept = (F.col("day") >= F.lit(since.date())) & (F.col("comment_date") >= moment(since))
         return self.comments().where(kept).drop("day")
 
     # -- run state -----------------------------------------------------------------------------
@@ -91,11 +92,12 @@ class Store:
         """The recorded high-water mark, or one day before ``run_ts`` when there is none."""
         self.create("last_run", schemas.LAST_RUN)
         marks = self.read("last_run", schemas.LAST_RUN).where(F.col("pipeline") == pipeline)
-        return marks.agg(F.max("last_run")).first()[0] or run_ts - DEFAULT_START
+        newest = marks.agg(F.date_format(F.max("last_run"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        return dt.datetime.fromisoformat(newest) if newest else run_ts - DEFAULT_START
 
     def record_run(self, pipeline: str, last_run: dt.datetime) -> None:
         """Marks are appended and the newest counts, so a lost write never loses the old mark."""
-        row = self.spark.createDataFrame([(pipeline, last_run)], schemas.LAST_RUN)
+        row = self.spark.range(1).select(F.lit(pipeline).alias("pipeline"), moment(last_run).alias("last_run"))
         self.append("last_run", row, schemas.LAST_RUN)
 
 
