@@ -42,7 +42,7 @@ def term_owners(
     """``(term, owner)`` pairs; a ticker shared by two entries gives two rows."""
     cells = F.array_compact(F.array(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in columns]))
     return entries.select(
-        F.explode(F.transform(cells, F.lower)).alias("term"), F.trim(owner).alias("owner")
+        F.explode(F.transform(cells, lambda c: F.lower(c))).alias("term"), F.trim(owner).alias("owner")
     ).distinct()
 
 
@@ -50,5 +50,5 @@ def read_templates(spark: SparkSession, path: str, max_cells: int = 64) -> DataF
     """Headerless CSV; every non-blank cell of every row is a ``template``."""
     wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_cells)])
     cells = spark.read.schema(wide).csv(path, header=False, quote='"', escape='"')
-    template = F.explode(F.transform(F.array(*cells.columns), F.trim))
+    template = F.explode(F.transform(F.array(*cells.columns), lambda c: F.trim(c)))
     return cells.select(template.alias("template")).where(F.length("template") > 0)

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from parley import schemas
 from parley.operators.keys import first_seen, not_stored
 from parley.operators.recency import moment
+from parley.runtime import materialise
 
 # Default start when no run has been recorded.
 DEFAULT_START = dt.timedelta(days=1)
@@ -50,9 +51,12 @@ class Store:
     def append_new(
         self, name: str, rows: DataFrame, key: str, schema: T.StructType, partition_by: str | None = None
     ) -> None:
-        """Append the rows whose ``key`` is not stored yet; replaying a batch adds nothing."""
-        fresh = not_stored(first_seen(rows, [key], [key]), self.read(name, schema), key)
-        self.append(name, fresh, schema, partition_by)
+        """Append the rows whose ``key`` is not stored yet; replaying a batch adds nothing.
+
+        The batch is met twice (which keys collide, which rows stay), so it is written down first.
+        """
+        once = materialise(first_seen(rows, [key], [key]), f"{name}-batch")
+        self.append(name, not_stored(once, self.read(name, schema), key), schema, partition_by)
 
     # -- the three tables of the pipeline ------------------------------------------------------
 

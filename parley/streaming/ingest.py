@@ -41,7 +41,8 @@ def loader(store: Store, lexicon: DataFrame | None = None) -> Callable[[DataFram
     def load(batch: DataFrame, _: int) -> None:
         batch.persist()
         try:
-            store_and_score(store, batch, lexicon)
+            if not batch.isEmpty():
+                store_and_score(store, batch, lexicon)
         finally:
             batch.unpersist()
 
