@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from parley.catalog import query, texts
-from parley.catalog.terms import WEIGHTS_SQL, counts
+from parley.catalog.terms import WEIGHTS_SQL, weights
 from parley.operators import chunks, summarise, terms
 
 
@@ -110,7 +110,7 @@ JOIN (SELECT source AS topic, count(*) AS size FROM documents GROUP BY 1) USING
 """)
 def topic_summaries(spark, sf):
     docs = texts(spark, sf).withColumn("topic", F.col("source"))
-    top = terms.top_terms(terms.term_weights(counts(spark, sf)))
+    top = terms.top_terms(weights(spark, sf))
     keywords = top.groupBy("topic").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "term"))), lambda s: s["term"]).alias("keybert"))
     summaries = summarise.topic_summaries(docs, "doc_id", "text", keywords.withColumn("mmr", F.col("keybert")), "2024-01-30")
     return summaries.select(F.col("date").cast("string").alias("date"), "topic", "summary", F.col("keybert").alias("keywords"), "size")

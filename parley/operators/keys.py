@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.runtime import materialise, small_side
+
 
 def top_per_group(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], k: int, rank: str = "rank"
@@ -35,6 +37,21 @@ def not_stored(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return new.join(collisions, key, "left_anti")
 
 
+def dense_order(df: DataFrame, order: Sequence[str], name: str = "ord") -> DataFrame:
+    """Number all rows 0..n-1 by ``order`` (unique columns) without sorting them in one place.
+
+    Rows are range-partitioned, written down with their partition, and numbered inside it; only the
+    partition sizes, one row each, are summed up in order.
+    """
+    placed = materialise(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ordered")
+    sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    numbered = placed.withColumn("__row", inside).join(small_side(offsets), "__part")
+    return numbered.withColumn(name, F.col("__base") + F.col("__row") - 1).drop("__part", "__row", "__base")
+
+
 def first_rows(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     """Exact global limit in order: a top-n per task, merged; no full sort."""
     return df.orderBy(*order).limit(n)

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators import matching, sentiment
-from parley.operators.keys import first_seen
+from parley.operators.keys import dense_order
 from parley.operators.summarise import Summariser, topic_summaries
-from parley.plans.topic_model import fit_topics, with_order
+from parley.plans.topic_model import fit_topics
 from parley.runtime import materialise
-from parley.schemas import clean_comments
+from parley.schemas import TOPIC_SUMMARIES, clean_comments
 from parley.sources.store import Store, due_today
 
 EXTRACT = "extract"
@@ -54,13 +54,10 @@ def run_daily_topics(
 ) -> bool:
     """Topics and summaries of the last ``n_days`` comments; False when the day has them already."""
     store.create_tables()
-    from parley.schemas import TOPIC_SUMMARIES
-
     if not due_today(store.read("topic_summaries", TOPIC_SUMMARIES), run_ts.date()):
         return False
     recent = store.recent_comments(run_ts, n_days).select("comment_id", "comment_date", "comment")
-    recent = first_seen(with_order(recent, "comment_date", "comment_id"), ["ord"], ["comment_id"])
-    recent = materialise(recent, "recent")
+    recent = materialise(dense_order(recent, ["comment_date", "comment_id"]), "recent")
     if recent.isEmpty():
         return False
     model = fit_topics(recent, "ord", "comment", run_date=run_ts.date(), **model_options)

@@ -67,7 +67,7 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     this keeps the text on the streamed side.  Meant for dictionaries and materialised tables, where
     counting is cheap.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

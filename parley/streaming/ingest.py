@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators import matching
-from parley.plans.pipeline import store_and_score
+from parley.operators.recency import moment
+from parley.plans.pipeline import run_daily_topics, store_and_score
 from parley.sources.store import Store
 
 # How late a copy of a comment may come and still be recognised in the stream.
@@ -53,8 +54,6 @@ def ingest_comments(
     comments: DataFrame, terms: Sequence[str], store: Store, last_run: dt.datetime, checkpoint: str, lexicon: DataFrame | None = None
 ) -> None:
     """A stream of single comments: newer than the mark, mentioning a term, each once."""
-    from parley.operators.recency import moment
-
     fresh = comments.where(F.col("comment_date") > moment(last_run))
     found = once_in_stream(matching.mentions(fresh, "comment", terms))
     store.create_tables()
@@ -73,6 +72,4 @@ def ingest_posts(
 
 def ingest_daily_topics(store: Store, run_ts: dt.datetime, **options) -> bool:
     """The daily job behind its once-a-day gate, to be called after an ingest run."""
-    from parley.plans.pipeline import run_daily_topics
-
     return run_daily_topics(store, run_ts, **options)

@@ -173,3 +173,11 @@ def test_observed_counters(spark):
     df, seen = recency.observed(spark.range(10), "run", F.col("id") < 4)
     df.collect()
     assert seen.get == {"checked": 10, "collected": 4}
+
+
+def test_dense_order_keeps_every_row(spark):
+    rows = [(5 if i % 3 else i, f"id{i:04d}") for i in range(500)]
+    df = spark.createDataFrame(rows, "at int, id string").repartition(6)
+    got = keys.dense_order(df, ["at", "id"]).orderBy("ord").collect()
+    assert [r["ord"] for r in got] == list(range(500))
+    assert [(r["at"], r["id"]) for r in got] == sorted(rows)

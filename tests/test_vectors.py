@@ -159,3 +159,14 @@ def test_generated_posts_are_seeded(spark):
     first = make(1)
     assert first == make(1) != make(2) and len(first) == 200
     assert {c for _, c in first} == {f"x {f}" for f in "ABC"} | {f"{f} y" for f in "ABC"}
+
+
+def test_recent_topics_without_example_texts(spark):
+    import datetime as dt
+
+    run = dt.datetime(2024, 5, 10)
+    rows = [(run - dt.timedelta(days=i % 10), TEXTS[i % 3]) for i in range(60)]
+    posts = spark.createDataFrame(rows, "timestamp timestamp, tweet_content string")
+    info = topic_model.recent_topics(posts, "tweet_content", 7, run, k=3, min_cluster_size=2)
+    assert "representative_docs" not in info.columns and {"keybert", "mmr", "name"} <= set(info.columns)
+    assert info.agg(F.sum("size")).first()[0] == 48
