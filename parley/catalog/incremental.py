@@ -142,7 +142,7 @@ def format_timestamps(spark, sf):
         stamp.alias("stamp"),
         recency.iso(F.col("ts")).alias("iso"),
         F.date_format(F.to_date("ts"), "yyyy-MM-dd").alias("day"),
-        F.timestamp_diff("SECOND", F.lit(dt.datetime(1970, 1, 1)).cast("timestamp_ntz"), parsed).alias("epoch_s"),
+        recency.epoch_of(parsed).alias("epoch_s"),
         recency.stamp(recency.days_before(parsed, 7)).alias("week_before"),
     )
 

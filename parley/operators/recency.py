@@ -88,5 +88,11 @@ def from_epoch(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds)
 
 
+def epoch_of(at: Column) -> Column:
+    """Epoch seconds of a clock time without a zone, taken as UTC."""
+    seconds = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    return F.unix_date(F.to_date(at)).cast("bigint") * 86_400 + seconds
+
+
 def days_before(at: Column, n: int) -> Column:
     return at - F.make_interval(days=F.lit(n))

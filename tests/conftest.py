@@ -11,7 +11,7 @@ from parley import runtime
 
 @pytest.fixture(scope="session")
 def spark():
-    session = runtime.session("tests", spark__master="local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g")
+    session = runtime.session("tests", spark__master="local[4]", spark__sql__shuffle__partitions="2", spark__driver__memory="8g")
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

@@ -8,9 +8,8 @@ from parley.plans import pipeline
 from parley.sources import files
 from parley.sources.store import Store, due_today, latest_date
 from parley.streaming import ingest
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from test_text_and_matching import RUN, epoch, posts
+from test_text_and_matching import RUN, posts
 
 
 @pytest.fixture
