@@ -20,7 +20,7 @@ DEFAULT_START = dt.timedelta(days=1)
 class Store:
     """Tables below one shared folder.
 
-    ``comments`` is partitioned by day, so a look-back reads only its days.  The reference key
+    ``comments`` is partitioned by day, so a look-back reads only its days.  The key
     constraint is kept by ``append_new``: first-wins inside the batch, then an anti join.
     """
 
