@@ -8,6 +8,7 @@ margin to the next one gives the score.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,10 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from parley.llm.tables import map_rows
-
 UNDETERMINED = "und"
+# A document whose two best languages are closer than this is rejected.
+LEAST_MARGIN = 0.002
 LETTER = regex.compile(r"\p{L}")
+NO_WORD = re.compile(r"[\W\d_]+")
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,11 @@ class Dictionaries:
     level: int = 3
 
 
+def plain(text: str) -> bytes:
+    """A text's words in lower case with one space between; symbols and digits carry no language."""
+    return NO_WORD.sub(" ", text.lower()).encode()
+
+
 def held_out(id_col: str) -> Column:
     """Rows that are never learned from: crc32 of the id as text leaves 1 on division by 3."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
@@ -53,63 +60,67 @@ def fit(docs: DataFrame, how: Dictionaries = Dictionaries(), id_col: str = "doc_
     rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= how.sample_texts)
     content: dict[str, bytes] = {}
     for r in rows.orderBy("lang", "n").collect():
-        content[r.lang] = content.get(r.lang, b"") + r.text.encode() + b"\n"
+        content[r.lang] = content.get(r.lang, b"") + plain(r.text) + b" "
     return {lang: data[-how.dictionary_bytes :] for lang, data in content.items()}
 
 
-def predict(docs: DataFrame, content: dict[str, bytes], how: Dictionaries = Dictionaries(), id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``doc_id, lang_pred, score, margin`` per row, from the text alone; ``keep`` names columns to carry along.
+def predict(rows: DataFrame, content: dict[str, bytes], how: Dictionaries = Dictionaries(), text_col: str = "text") -> DataFrame:
+    """``rows`` with ``lang_pred, score, margin`` at the end, from the text alone.
 
     ``margin`` is the share of bytes that the best dictionary saves against the second best; ``score`` is
     ``m / (m + 0.02)`` of it.  A null text or one without a letter is ``und`` with score 0; ties of size go to
     the first language by name.  Without any learned language everything is ``und``.
     """
     languages = sorted(content)
-    size = how.piece_bytes
-    keep = keep or []
-    fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join([*(f"{c} {fields[c]}" for c in keep), "doc_id long, lang_pred string, score double, margin double"])
+    size, names = how.piece_bytes, [*rows.columns, "lang_pred", "score", "margin"]
 
     def judge(batches):
         coders = []
         for lang in languages:
             words = zstandard.ZstdCompressionDict(content[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             words.precompute_compress(level=how.level)
-            plain = zstandard.ZstdCompressor(dict_data=words, write_content_size=False)
-            coders.append(plain.compress)
+            coders.append(zstandard.ZstdCompressor(dict_data=words, write_content_size=False).compress)
         for batch in batches:
-            best, scores, margins = [], [], []
-            for text in batch.column("_text").to_pylist():
-                if text is None or not coders or not LETTER.search(text):
-                    best.append(UNDETERMINED)
-                    scores.append(0.0)
-                    margins.append(0.0)
-                    continue
-                data = text.encode()
-                pieces = [data[i : i + size] for i in range(0, len(data), size)]
-                sums = [sum(len(code(p)) for p in pieces) for code in coders]
-                order = np.argsort(sums, kind="stable")
-                margin = 1.0 if len(sums) == 1 else 1 - sums[order[0]] / sums[order[1]]
-                best.append(languages[order[0]])
-                scores.append(margin / (margin + 0.02))
-                margins.append(margin)
-            columns = [*(batch.column(c) for c in keep), batch.column("_id"), pa.array(best, pa.string()), pa.array(scores, pa.float64()), pa.array(margins, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "doc_id_", "lang_pred", "score", "margin"] if "doc_id" in keep else [*keep, "doc_id", "lang_pred", "score", "margin"])
-
-    if "doc_id" in keep:
-        schema = schema.replace(", doc_id long, lang_pred", ", doc_id_ long, lang_pred")
-    rows = docs.select(*keep, F.col(id_col).cast("long").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    return rows.mapInArrow(judge, schema)
-
-
-def identify(docs: DataFrame, how: Dictionaries = Dictionaries(), least_margin: float = 0.0, **columns: str) -> DataFrame:
+            found: list[list] = [[], [], []]
+            for text in batch.column(text_col).to_pylist():
+                verdict = (UNDETERMINED, 0.0, 0.0)
+                if text is not None and coders and LETTER.search(text):
+                    data = plain(text)
+                    pieces = [data[i : i + size] for i in range(0, len(data), size)]
+                    sums = [sum(len(code(p)) for p in pieces) for code in coders]
+                    order = np.argsort(sums, kind="stable")
+                    margin = 1.0 if len(sums) == 1 else 1 - sums[order[0]] / sums[order[1]]
+                    verdict = (languages[order[0]], margin / (margin + 0.02), margin)
+                for column, value in zip(found, verdict):
+                    column.append(value)
+            types = (pa.string(), pa.float64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(c, t) for c, t in zip(found, types))], names=names)
+
+    fields = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields), "lang_pred string", "score double", "margin double"]
+    return rows.mapInArrow(judge, ", ".join(fields))
+
+
+def rejected(least_margin: float) -> Column:
+    return (F.col("lang_pred") == UNDETERMINED) | (F.col("margin") <= least_margin)
+
+
+def identify(docs: DataFrame, how: Dictionaries = Dictionaries(), least_margin: float = LEAST_MARGIN, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``doc_id, held_out, lang_pred, score, margin, rejected``: fitted on the labelled part, predicted for all.
 
-    ``rejected`` marks ``und`` and margins not above ``least_margin``.
+    ``rejected`` marks ``und`` and margins not above ``least_margin``.  A row without an id is learned from and
+    predicted like any other; rows repeated under one id are predicted each.  Other columns are not read.
     """
-    content = fit(docs, how, **columns)
-    predicted = predict(docs, content, how, **{k: v for k, v in columns.items() if k != "lang_col"})
-    return predicted.select(
-        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin",
-        ((F.col("lang_pred") == UNDETERMINED) | (F.col("margin") <= least_margin)).alias("rejected"),
+    content = fit(docs, how, id_col, text_col, lang_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return predict(rows, content, how).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "margin", rejected(least_margin).alias("rejected")
     )
+
+
+def identified(docs: DataFrame, how: Dictionaries = Dictionaries(), least_margin: float = LEAST_MARGIN, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns, whatever these are called."""
+    hidden = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    place = {name: f"c{i}" for i, name in reversed(list(enumerate(docs.columns)))}
+    content = fit(hidden, how, place[id_col], place[text_col], place[lang_col])
+    judged = predict(hidden, content, how, place[text_col]).where(~rejected(least_margin))
+    return judged.drop("lang_pred", "score", "margin").toDF(*docs.columns)
