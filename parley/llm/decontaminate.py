@@ -94,7 +94,7 @@ def tokens(block: wordhash.Block) -> tuple[np.ndarray, ...]:
     again = np.zeros(len(text), bool)
     again[1:] = name[1:] & name[:-1] & ~first[1:]
     head = np.flatnonzero(~again)
-    tail = np.append(head[1:], len(text)) - 1
+    tail = np.append(head[1:], len(text))[: len(head)] - 1
     return text[head], begin[head], end[tail], kind[head], hashes[head]
 
 
