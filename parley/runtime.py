@@ -37,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if folder:
         return folder
-    if not context.master.startswith("local"):
+    if context.master.startswith("local-cluster") or not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="parley-")
     context.setCheckpointDir(folder)
