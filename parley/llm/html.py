@@ -376,7 +376,7 @@ def fit(pages: DataFrame, how: Training = Training(), id_col: str = "page_id", h
     if not len(y):
         return None
     spark = pages.sparkSession
-    table = spark.createDataFrame(pa.table({"label": y, "row": pa.array(list(x), pa.list_(pa.float64()))}).to_pandas())
+    table = spark.createDataFrame(pa.table({"label": y, "row": pa.array(list(x), pa.list_(pa.float64()))}))
     table = table.select("label", array_to_vector("row").alias("features")).coalesce(4).cache()
     model = GBTClassifier(maxIter=how.trees, maxDepth=how.depth, stepSize=0.3, seed=how.seed).fit(table)
     table.unpersist()
