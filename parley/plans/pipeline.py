@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators import matching, sentiment
-from parley.operators.keys import dense_order
+from parley.operators.keys import dense_order, first_rows
 from parley.operators.summarise import Summariser, topic_summaries
 from parley.plans.topic_model import fit_topics
 from parley.runtime import materialise
@@ -37,15 +37,19 @@ def run_extract(
 ) -> None:
     """One run over what has landed since the last one.
 
-    The mark moves to the newest comment stored, and only after both appends succeeded, so nothing
-    written while the job ran is skipped by the next.
+    With ``target`` the run stops at the time by which that many matches have come, oldest first; matches
+    of that very time are all kept.  The mark moves to the newest comment stored, and only after both
+    appends succeeded, so nothing written while the job ran, or left by a target, is skipped by the next.
     """
     store.create_tables()
     since = store.last_run(EXTRACT, run_ts)
-    found = materialise(matching.extract_comments(posts, terms, since, run_ts, target), "extracted")
+    found = materialise(matching.extract_comments(posts, terms, since, run_ts), "extracted")
+    if target is not None:
+        last = first_rows(found.select("comment_date"), ["comment_date"], target).agg(F.max("comment_date").alias("last"))
+        found = materialise(found.join(F.broadcast(last), F.col("comment_date") <= F.col("last")).drop("last"), "extracted")
     store_and_score(store, found, lexicon)
     newest = found.agg(F.date_format(F.max("comment_date"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
-    if newest and target is None:
+    if newest:
         store.record_run(EXTRACT, dt.datetime.fromisoformat(newest))
 
 

@@ -46,9 +46,11 @@ def term_owners(
     ).distinct()
 
 
-def read_templates(spark: SparkSession, path: str, max_cells: int = 64) -> DataFrame:
-    """Headerless CSV; every non-blank cell of every row is a ``template``."""
-    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(max_cells)])
+def read_templates(spark: SparkSession, path: str) -> DataFrame:
+    """Headerless CSV; every non-blank cell of every row is a ``template``; the widest line sets the number of cells."""
+    commas = F.size(F.split("value", ","))
+    cells = spark.read.text(path).agg(F.max(commas)).first()[0] or 1
+    wide = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(cells)])
     cells = spark.read.schema(wide).csv(path, header=False, quote='"', escape='"')
     template = F.explode(F.transform(F.array(*cells.columns), lambda c: F.trim(c)))
     return cells.select(template.alias("template")).where(F.length("template") > 0)

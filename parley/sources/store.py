@@ -49,14 +49,22 @@ class Store:
         writer.parquet(self._path(name))
 
     def append_new(
-        self, name: str, rows: DataFrame, key: str, schema: T.StructType, partition_by: str | None = None
+        self, name: str, rows: DataFrame, key: str, schema: T.StructType, partition_by: str | None = None, time: str | None = None
     ) -> None:
         """Append the rows whose ``key`` is not stored yet; replaying a batch adds nothing.
 
-        The batch is met twice (which keys collide, which rows stay), so it is written down first.
+        The batch is met twice (which keys collide, which rows stay), so it is written down first.  Of
+        copies in a batch the earliest by ``time`` stays; ties go by a hash of the whole row, so the
+        choice does not depend on the order of the input.  A key belongs to one partition of a table
+        partitioned by a date of it, so only the batch's span of partitions is read.
         """
-        once = materialise(first_seen(rows, [key], [key]), f"{name}-batch")
-        self.append(name, not_stored(once, self.read(name, schema), key), schema, partition_by)
+        whole = F.xxhash64(*[c for c in rows.columns])
+        once = materialise(first_seen(rows, [key], [*([time] if time else []), whole]), f"{name}-batch")
+        stored = self.read(name, schema)
+        if partition_by:
+            span = once.agg(F.min(partition_by), F.max(partition_by)).first()
+            stored = stored.where(F.col(partition_by).between(F.lit(span[0]), F.lit(span[1])) | F.col(partition_by).isNull())
+        self.append(name, not_stored(once, stored, key), schema, partition_by)
 
     # -- the three tables of the pipeline ------------------------------------------------------
 
@@ -72,7 +80,7 @@ class Store:
 
     def insert_new_comments(self, rows: DataFrame) -> None:
         dated = rows.withColumn("day", F.to_date("comment_date"))
-        self.append_new("comments", dated, "comment_id", self.COMMENTS_STORED, "day")
+        self.append_new("comments", dated, "comment_id", self.COMMENTS_STORED, "day", "comment_date")
 
     def update_sentiment(self, rows: DataFrame) -> None:
         self.append_new("sentiment", rows, "comment_id", schemas.SENTIMENT)
@@ -112,4 +120,4 @@ def latest_date(df: DataFrame, column: str = "date") -> dt.date | None:
 
 def due_today(summaries: DataFrame, run_date: dt.date) -> bool:
     """True unless ``run_date`` already has summaries."""
-    return latest_date(summaries) != run_date
+    return summaries.where(F.to_date("date") == F.lit(run_date)).isEmpty()

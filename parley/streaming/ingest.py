@@ -1,6 +1,7 @@
 """The extract job as a stream: landing folder in, comments and sentiment tables out.
 
-Every micro-batch is loaded with anti-joined appends, so replaying one after a failure adds nothing.
+Every micro-batch is loaded with anti-joined appends, so replaying one after a failure adds nothing,
+and a copy is recognised however late it comes.  No row is dropped for its age: there is no watermark.
 """
 
 from __future__ import annotations
@@ -16,15 +17,6 @@ from parley.operators.recency import moment
 from parley.plans.pipeline import run_daily_topics, store_and_score
 from parley.sources.store import Store
 
-# How late a copy of a comment may come and still be recognised in the stream.
-LATENESS = "1 day"
-
-
-def once_in_stream(comments: DataFrame, key: str = "comment_id", time: str = "comment_date", lateness: str = LATENESS) -> DataFrame:
-    """First copies only; state is dropped once the watermark has passed."""
-    return comments.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])
-
-
 def run_available(stream: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str) -> None:
     """Process everything that has landed, then stop; the checkpoint remembers what was done."""
     query = (
@@ -55,7 +47,7 @@ def ingest_comments(
 ) -> None:
     """A stream of single comments: newer than the mark, mentioning a term, each once."""
     fresh = comments.where(F.col("comment_date") > moment(last_run))
-    found = once_in_stream(matching.mentions(fresh, "comment", terms))
+    found = matching.mentions(fresh, "comment", terms)
     store.create_tables()
     run_available(found, loader(store, lexicon), checkpoint)
 
@@ -65,7 +57,7 @@ def ingest_posts(
     lexicon: DataFrame | None = None,
 ) -> None:
     """A stream of posts with their comments; posts older than a day are dropped before the unnest."""
-    found = once_in_stream(matching.matching_comments(posts, terms, last_run, run_ts))
+    found = matching.matching_comments(posts, terms, last_run, run_ts)
     store.create_tables()
     run_available(found.select(*matching.EXTRACTED), loader(store, lexicon), checkpoint)
 

@@ -8,6 +8,7 @@ from parley.plans import pipeline
 from parley.sources import files
 from parley.sources.store import Store, due_today, latest_date
 from parley.streaming import ingest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_text_and_matching import RUN, posts
 
@@ -111,3 +112,31 @@ def test_a_model_replaces_the_summariser(spark):
     shorten = predict_batch_udf(lambda: lambda texts: __import__("numpy").array([str(t)[:20] for t in texts], dtype=object), return_type=T.StringType(), batch_size=8)
     df = spark.createDataFrame([(i, "x", "abcdefghij" * 30) for i in range(20)], "id bigint, topic string, t string")
     assert summarise.summarise_topics(df, "topic", "id", "t", summariser=lambda c: shorten(c)).first()["summary"] == ("abcdefghij" * 2)
+
+
+def test_late_rows_reach_the_store_in_any_batch_order(spark, tmp_path):
+    """Four one-comment files, one per batch, the oldest last: all are stored, as by one batch read."""
+    landing = str(tmp_path / "landing")
+    rows = [(f"c{d}", f"2024-05-0{d} 10:00:00") for d in (8, 7, 3, 2)]
+    for at, (key, when) in enumerate(rows):
+        spark.createDataFrame([(key, "t", "s", when, "love Westpac", 1)], "comment_id string, post_title string, subreddit string, comment_date string, comment string, upvotes long").withColumn(
+            "comment_date", F.col("comment_date").cast("timestamp")
+        ).coalesce(1).write.mode("append").parquet(f"{landing}/{at}")
+    schema = spark.read.parquet(f"{landing}/0").schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/*")
+    store = Store(spark, str(tmp_path / "store"))
+    ingest.ingest_comments(stream, ["Westpac"], store, dt.datetime(2024, 1, 1), str(tmp_path / "checkpoint"))
+    assert {r.comment_id for r in store.comments().collect()} == {"c8", "c7", "c3", "c2"}
+    assert store.read("sentiment", schemas.SENTIMENT).count() == 4
+
+
+def test_earlier_day_is_not_due_again_and_first_copy_wins(spark, tmp_path):
+    summaries = spark.createDataFrame([(dt.date(2024, 5, 8),), (dt.date(2024, 5, 9),)], "date date")
+    assert not due_today(summaries, dt.date(2024, 5, 8)) and due_today(summaries, dt.date(2024, 5, 7))
+    for at, order in enumerate(([0, 1], [1, 0])):
+        store = Store(spark, str(tmp_path / f"s{at}"))
+        store.create_tables()
+        rows = [("a", "t", "s", dt.datetime(2024, 5, 8, 1), "first", "p", 1), ("a", "t", "s", dt.datetime(2024, 5, 8, 2), "second", "p", 1)]
+        schema = "comment_id string, post_title string, subreddit string, comment_date timestamp, comment string, matched_phrase string, upvotes long"
+        store.insert_new_comments(spark.createDataFrame([rows[i] for i in order], schema))
+        assert [r.comment for r in store.comments().collect()] == ["first"]
