@@ -8,9 +8,18 @@ from pyspark.sql import functions as F
 from parley.runtime import materialise
 
 
-def _lowest(around: DataFrame) -> DataFrame:
-    """Smallest neighbour or self per node; combined before the shuffle, and written so that the join below can be split."""
-    return materialise(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
+def _lowest(around: DataFrame) -> tuple[DataFrame, bool]:
+    """Smallest neighbour or self per node, and whether the graph is more than stars round their smallest node.
+
+    Combined before the shuffle, and written so that a join with it can be split.
+    """
+    below, above = F.count_if(F.col("v") < F.col("u")), F.count_if(F.col("v") > F.col("u"))
+    lowest = around.groupBy("u").agg(
+        F.least(F.min("v"), F.col("u")).alias("m"), ((below > 0) & ((above > 0) | (below > 1))).alias("tangled")
+    )
+    seen = Observation()
+    lowest = materialise(lowest.observe(seen, F.count_if("tangled").alias("tangled")), "lowest")
+    return lowest.select("u", "m"), seen.get["tangled"] > 0
 
 
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -25,23 +34,17 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     )
     if state.isEmpty():
         return state.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    before = None
     for _ in range(max_rounds):
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = materialise(
-            both.join(_lowest(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(),
-            "large",
-        )
-        lowest = _lowest(large)
+        lowest, tangled = _lowest(both)
+        if not tangled:
+            break
+        large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = materialise(large, "large")
+        lowest, _ = _lowest(large)
         small = large.join(lowest, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        seen = Observation()
-        mark = F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("mark")
-        state = materialise(small.observe(seen, F.count(F.lit(1)).alias("rows"), mark), "edges")
-        now = seen.get
-        if now == before:
-            break
-        before = now
+        state = materialise(small, "edges")
     else:
         raise RuntimeError("components did not settle")
     roots = state.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))

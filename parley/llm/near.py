@@ -10,7 +10,8 @@
    still hold several families are compared in blocks of bounded size, only across families.
 4. Families are the connected classes of step 3.  Inside a family all pairs are decided on full sets:
    in one block if it is small, else first against its smallest class and then block by block
-   among the classes that comparison left apart.  Only links come out of a task, at most one per row.
+   among the classes that comparison left apart.  Only links come out of a task, at most one per row,
+   laid as stars.
 
 Two texts of the wanted likeness miss all of 48 bands of 5 registers with a chance below 1e-8.
 """
@@ -106,22 +107,25 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(used > 0, (same - by_chance) / np.maximum(used, 1), 0.0)
 
 
-def _forest(n: int):
-    """A union-find over ``n`` places: ``join(a, b)`` says whether it joined two trees."""
-    parent = list(range(n))
+class Forest:
+    """A union-find over ``n`` places."""
 
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
+    def __init__(self, n: int) -> None:
+        self.parent = list(range(n))
+
+    def find(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
         return x
 
-    def join(a: int, b: int) -> bool:
-        a, b = find(a), find(b)
-        parent[max(a, b)] = min(a, b)
-        return a != b
+    def join(self, a: int, b: int) -> None:
+        a, b = self.find(a), self.find(b)
+        self.parent[max(a, b)] = min(a, b)
 
-    return join
+    def stars(self) -> list[tuple[int, int]]:
+        """Every place but the first of its tree, with that first place."""
+        return [(x, self.find(x)) for x in range(len(self.parent)) if self.find(x) != x]
 
 
 def _binary_rows(rows: np.ndarray) -> pa.Array:
@@ -194,8 +198,8 @@ def _rough_families(edges: DataFrame) -> DataFrame:
 
 
 def _similar(n: np.ndarray, fam: np.ndarray, own: np.ndarray, seen: np.ndarray, one: bool, like: Likeness) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of a block whose estimate is high enough and whose families differ."""
-    join, out = _forest(len(n)), []
+    """Stars over the pairs of a block whose estimate is high enough and whose families differ."""
+    forest = Forest(len(n))
     step = max(1, (1 << 14) // len(n))
     for begin in range(0, len(n), step):
         # A chunk of rows against all later rows; only the pairs that can be alike reach the estimate.
@@ -205,8 +209,9 @@ def _similar(n: np.ndarray, fam: np.ndarray, own: np.ndarray, seen: np.ndarray,
         x, y = x[may], y[may]
         if len(x):
             hit = estimate(seen[x], seen[y]) >= like.least_estimate
-            out += [(i, j) for i, j in zip(x[hit].tolist(), y[hit].tolist()) if join(i, j)]
-    return out
+            for i, j in zip(x[hit].tolist(), y[hit].tolist()):
+                forest.join(i, j)
+    return forest.stars()
 
 
 def _across_families(shared: DataFrame, family: DataFrame, classes: DataFrame, like: Likeness) -> DataFrame:
@@ -236,7 +241,7 @@ def _across_families(shared: DataFrame, family: DataFrame, classes: DataFrame, l
 
 
 def linked(sets: list[np.ndarray], percent: int, wanted=None) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs of ``sets`` with ``100 * intersection >= percent * union``.
+    """Stars over the pairs of ``sets`` with ``100 * intersection >= percent * union``.
 
     ``wanted(x)`` gives a mask of the places to compare with ``x``; places before ``x`` are left out.
     """
@@ -244,7 +249,7 @@ def linked(sets: list[np.ndarray], percent: int, wanted=None) -> list[tuple[int,
     _, place = np.unique(np.concatenate(sets), return_inverse=True)
     begin = np.concatenate([[0], np.cumsum(sizes)])
     mark = np.zeros(place.max() + 1, np.int64)
-    join, out = _forest(len(sets)), []
+    forest = Forest(len(sets))
     for x in range(len(sets) - 1):
         rest = np.arange(x + 1, len(sets))
         fits = np.minimum(sizes[rest], sizes[x]) * 100 >= np.maximum(sizes[rest], sizes[x]) * percent
@@ -256,9 +261,8 @@ def linked(sets: list[np.ndarray], percent: int, wanted=None) -> list[tuple[int,
         common = np.add.reduceat(mark[place], begin[:-1])[rest]
         mark[own] = 0
         for y in rest[common * 100 >= (sizes[rest] + sizes[x] - common) * percent].tolist():
-            if join(x, y):
-                out.append((x, y))
-    return out
+            forest.join(x, y)
+    return forest.stars()
 
 
 def _confirmed(docs: DataFrame, classes: DataFrame, family: DataFrame, like: Likeness) -> DataFrame:
@@ -282,12 +286,30 @@ def _confirmed(docs: DataFrame, classes: DataFrame, family: DataFrame, like: Lik
     sets = materialise(sets, "sets")
     sizes = sets.groupBy("fam").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("nb"), F.min("cls").alias("pivot"))
     sizes = materialise(sizes, "families")
+    none_large = sizes.where("nb > 1").isEmpty()
     read = lambda column: [np.frombuffer(b, np.uint64) for b in column.to_pylist()]
 
     small = sets.join(sizes.where("nb <= 1").select("fam"), "fam")
     small = small.select("fam", "cls", F.lit(False).alias("near"), F.lit(0).alias("own"), F.lit(0).alias("i"), F.lit(0).alias("j"), "hashes")
     small = small.repartition("fam").sortWithinPartitions("fam", "i", "j")
 
+    def decide(batches):
+        for table, borders in grouped(batches, ["fam", "i", "j"]):
+            cls, near, own = (table.column(c).to_numpy(zero_copy_only=False) for c in ("cls", "near", "own"))
+            one = table.column("i").to_numpy() == table.column("j").to_numpy()
+            pairs = []
+            for begin, end in zip(borders[:-1], borders[1:]):
+                part = slice(begin, end)
+                if not near[part].all():
+                    wanted = lambda x: ~(near[part] & near[part][x]) & ((own[part] != own[part][x]) | one[begin])
+                    found = linked(read(table.column("hashes").slice(begin, end - begin)), like.percent, wanted)
+                    pairs += [(begin + x, begin + y) for x, y in found]
+            a, b = (pa.array([cls[p[k]] for p in pairs], pa.int64()) for k in (0, 1))
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
+
+    links = small.mapInArrow(decide, "a long, b long")
+    if none_large:
+        return links
     # Large families: what the pivot links needs no comparison among itself.
     large = sets.join(sizes.where("nb > 1"), "fam")
     pivots = sets.join(sizes.where("nb > 1").select(F.col("pivot").alias("cls")), "cls").select("fam", F.col("hashes").alias("pivot_hashes"))
@@ -307,21 +329,7 @@ def _confirmed(docs: DataFrame, classes: DataFrame, family: DataFrame, like: Lik
     dealt = _block_pairs(tried.join(apart, "fam", "left_semi"), ["fam"], "nb", "cls")
     dealt = dealt.select("fam", "cls", "near", "own", "i", "j", "hashes")
 
-    def decide(batches):
-        for table, borders in grouped(batches, ["fam", "i", "j"]):
-            cls, near, own = (table.column(c).to_numpy(zero_copy_only=False) for c in ("cls", "near", "own"))
-            one = table.column("i").to_numpy() == table.column("j").to_numpy()
-            pairs = []
-            for begin, end in zip(borders[:-1], borders[1:]):
-                part = slice(begin, end)
-                if not near[part].all():
-                    wanted = lambda x: ~(near[part] & near[part][x]) & ((own[part] != own[part][x]) | one[begin])
-                    found = linked(read(table.column("hashes").slice(begin, end - begin)), like.percent, wanted)
-                    pairs += [(begin + x, begin + y) for x, y in found]
-            a, b = (pa.array([cls[p[k]] for p in pairs], pa.int64()) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
-
-    links = small.mapInArrow(decide, "a long, b long").unionByName(dealt.mapInArrow(decide, "a long, b long"))
+    links = links.unionByName(dealt.mapInArrow(decide, "a long, b long"))
     return links.unionByName(tried.where("near and cls <> pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")))
 
 
