@@ -24,6 +24,8 @@ UNDETERMINED = "und"
 LEAST_MARGIN = 0.002
 LETTER = regex.compile(r"\p{L}")
 NO_WORD = re.compile(r"[\W\d_]+")
+# The encoder looks for no match in the last bytes of its input; the same filler after each piece keeps them free of text.
+FILLER = b" " + b"0" * 15
 
 
 @dataclass(frozen=True)
@@ -50,12 +52,27 @@ def held_out(id_col: str) -> Column:
 def fit(docs: DataFrame, how: Dictionaries = Dictionaries(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Dictionary content per language, from at most ``sample_texts`` labelled rows of it that are not held out.
 
-    The rows are taken in the order of a hash of their text and id; the group limit of the window is
-    applied before the shuffle, so a language of any size sends that many rows per task.
+    The rows are those with the smallest hashes of text and id.  Rows per language and bit length of the hash
+    are counted first, at most 63 counts a language; lengths beyond those that hold ``sample_texts`` rows
+    are left out, so about twice that many rows of a language are ordered, whatever its size.
     """
     text = F.col(text_col)
     rows = docs.where(text.isNotNull() & F.col(lang_col).isNotNull() & ~held_out(id_col) & (F.length(F.trim(text)) > 0))
-    rows = rows.select(F.col(lang_col).alias("lang"), F.substring(text, 1, how.sample_chars).alias("text"), F.xxhash64(text, F.col(id_col)).alias("at"))
+    rows = rows.select(
+        F.col(lang_col).alias("lang"),
+        F.substring(text, 1, how.sample_chars).alias("text"),
+        F.shiftrightunsigned(F.xxhash64(text, F.col(id_col)), 1).alias("at"),
+    ).withColumn("bits", F.length(F.bin("at")))
+    reached: dict[str, int] = {}
+    longest: dict[str, int] = {}
+    for r in sorted(rows.groupBy("lang", "bits").count().collect(), key=lambda r: r.bits):
+        if reached.get(r.lang, 0) < how.sample_texts:
+            reached[r.lang] = reached.get(r.lang, 0) + r["count"]
+            longest[r.lang] = r.bits
+    if not longest:
+        return {}
+    limits = docs.sparkSession.createDataFrame(sorted(longest.items()), "lang string, longest int")
+    rows = rows.join(F.broadcast(limits), "lang").where("bits <= longest")
     order = Window.partitionBy("lang").orderBy("at", "text")
     rows = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= how.sample_texts)
     content: dict[str, bytes] = {}
@@ -86,7 +103,7 @@ def predict(rows: DataFrame, content: dict[str, bytes], how: Dictionaries = Dict
                 verdict = (UNDETERMINED, 0.0, 0.0)
                 if text is not None and coders and LETTER.search(text):
                     data = plain(text)
-                    pieces = [data[i : i + size] for i in range(0, len(data), size)]
+                    pieces = [b" " + data[i : i + size] + FILLER for i in range(0, len(data), size)]
                     sums = [sum(len(code(p)) for p in pieces) for code in coders]
                     order = np.argsort(sums, kind="stable")
                     margin = 1.0 if len(sums) == 1 else 1 - sums[order[0]] / sums[order[1]]
