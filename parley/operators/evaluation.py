@@ -214,6 +214,11 @@ def token_match(
     return scored.select(*key, "s.precision", "s.recall").withColumn("f1", _f1(F.col("precision"), F.col("recall")))
 
 
+def mean_token_match(scored: DataFrame) -> DataFrame:
+    """One row of means over the pairs of ``token_match``; no pairs give nulls."""
+    return scored.agg(*(F.avg(c).alias(c) for c in ("precision", "recall", "f1")))
+
+
 def evaluate_summaries(pairs: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row of corpus means: ROUGE-1, -2 and -L (p, r, f), readability of the generated text, BLEU.
 
