@@ -190,9 +190,13 @@ def _block_pairs(members: DataFrame, keys: list[str], blocks: str, ident: str) -
 
 
 def _rough_families(edges: DataFrame) -> DataFrame:
-    """``(node, root)``: the smallest node within two steps; it only spares comparisons, so it need not be the whole family."""
+    """``(node, root)``: the smallest node within two steps; it only spares comparisons, so it need not be the whole family.
+
+    The first step is read from a table, so a join with it can be split at a hub.
+    """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     first = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    first = materialise(first, "lowest")
     second = both.join(first.select(F.col("a").alias("b"), "m"), "b").groupBy("a").agg(F.min("m").alias("far"))
     return second.join(first, "a").select(F.col("a").alias("node"), F.least("m", "far").alias("root"))
 
