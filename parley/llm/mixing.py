@@ -3,8 +3,8 @@
 Tokens are summed per cell of (source, language, topic).  The cells' weights are raked in turn to the
 target share of every source, language and topic until all three margins hold; the ratio of a cell's
 raked share to its own share is its calibrated weight.  Documents are then sampled with a probability in
-proportion to that weight.  Values without a target of their own are raked together as ``other``, so the
-number of cells is bounded by the targets and not by the data.
+proportion to that weight, at most 1.  Values without a target of their own are raked together as ``other``,
+which keeps its observed share, so the number of cells is bounded by the targets and not by the data.
 """
 
 from __future__ import annotations
@@ -51,27 +51,69 @@ class Targets:
     topic: Mapping[str, float]
 
 
-def rake(cells: Mapping[tuple[str, str, str], int], targets: Targets, rounds: int = 500, tolerance: float = 1e-9) -> dict[tuple[str, str, str], float]:
-    """Calibrated weight per cell: raked share over own share.  A target of 0 gives weight 0."""
+def _shares(targets: Mapping[str, float], values: list[str], own: np.ndarray) -> np.ndarray:
+    """Wanted share per occurring value.  ``other`` without a target of its own keeps its observed share."""
+    share = np.array([targets.get(v, 0.0) for v in values], float)
+    kept = np.array([v == OTHER and OTHER not in targets for v in values])
+    if not share.sum():
+        return own
+    return np.where(kept, own, share / share.sum() * (1 - own[kept].sum()))
+
+
+def _filled(share: np.ndarray, room: np.ndarray, total: float) -> np.ndarray:
+    """``total`` dealt out by ``share``; a value with less ``room`` is filled up and the others take the rest."""
+    full = np.zeros(len(share), bool)
+    for _ in share:
+        free = np.where(full, 0.0, share)
+        wanted = free / (free.sum() or 1.0) * (total - room[full].sum())
+        over = ~full & (wanted > room)
+        if not over.any():
+            break
+        full |= over
+    return np.where(full, room, wanted)
+
+
+def _margins(keys: list[tuple[str, str, str]], own: np.ndarray, targets: Targets) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per margin: the value's place of every cell, the wanted and the observed share of every value."""
+    out = []
+    for axis, margin in enumerate(MARGINS):
+        values = sorted({k[axis] for k in keys})
+        place = np.array([values.index(k[axis]) for k in keys])
+        seen = np.bincount(place, own, len(values))
+        out.append((place, _shares(getattr(targets, margin), values, seen), seen))
+    return out
+
+
+def covered(cells: Mapping[tuple[str, str, str], int], targets: Targets) -> float:
+    """The share of the tokens that the targets ask for: what no value has beyond its target, in the scarcest margin."""
+    keys = sorted(cells)
+    if not keys:
+        return 0.0
+    own = np.array([cells[k] for k in keys], float)
+    return min(float(np.minimum(share, seen).sum()) for _, share, seen in _margins(keys, own / own.sum(), targets))
+
+
+def rake(cells: Mapping[tuple[str, str, str], int], targets: Targets, rounds: int = 500, tolerance: float = 1e-9, part: float | None = None) -> dict[tuple[str, str, str], float]:
+    """Calibrated weight per cell: raked share over own share.  A target of 0 gives weight 0.
+
+    With ``part``, the share of all tokens that the mix shall have, no weight exceeds ``1 / part``: cells and
+    values with less than they should give are taken whole, and the others share out the rest.
+    """
     keys = sorted(cells)
     if not keys:
         return {}
     own = np.array([cells[k] for k in keys], float)
     own /= own.sum()
-    places, wanted = [], []
-    for axis, margin in enumerate(MARGINS):
-        values = sorted({k[axis] for k in keys})
-        share = np.array([getattr(targets, margin).get(v, 0.0) for v in values], float)
-        if not share.sum():
-            share = np.ones(len(values))
-        wanted.append(share / share.sum())
-        places.append(np.array([values.index(k[axis]) for k in keys]))
+    most = np.full(len(own), np.inf) if not part else own / part
     fit = own.copy()
+    margins = []
+    for place, share, seen in _margins(keys, own, targets):
+        margins.append((place, share if not part else _filled(share, seen / part, 1.0)))
     for _ in range(rounds):
         before = fit
-        for place, share in zip(places, wanted):
+        for place, share in margins:
             sums = np.bincount(place, fit, len(share))
-            fit = fit * np.divide(share, sums, out=np.zeros(len(share)), where=sums > 0)[place]
+            fit = np.minimum(most, fit * np.divide(share, sums, out=np.zeros(len(share)), where=sums > 0)[place])
         if np.abs(fit - before).max() < tolerance:
             break
     return dict(zip(keys, (fit / own).tolist()))
@@ -80,11 +122,13 @@ def rake(cells: Mapping[tuple[str, str, str], int], targets: Targets, rounds: in
 def mix(docs: DataFrame, targets: Targets, topic: Column | None = None, budget_tokens: int | None = None, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``mix_source, mix_lang, mix_topic, mix_tokens, mix_weight, mix_probability, mix_kept``.
 
-    The probability of a cell is its weight times one scale for all: the largest for which none exceeds 1,
-    or the one that gives ``budget_tokens`` on average, if that is smaller.  ``mix_kept`` compares it with
-    a hash of the id, so a document's fate does not depend on the partitions, and rows repeated under one
-    id share it.  A null source or language counts as ``other``, as does one without a target.  Without
-    ``topic`` the form of the text is taken.  Two passes over the texts, no shuffle of them.
+    The probability of a cell is its weight times the part of all tokens that the mix shall have: the tokens
+    the targets ask for (``covered``), or ``budget_tokens``, if that is less.  Scarce cells and values are
+    kept whole, at probability 1, so they do not thin the others; ``rake`` shares out the rest.  ``mix_kept``
+    compares the probability with a hash of the id, so a document's fate does not depend on the partitions,
+    and rows repeated under one id share it.  A null source or language counts as ``other``, as does one
+    without a target.  Without ``topic`` the form of the text is taken.  Two passes over the texts, no
+    shuffle of them.
     """
     listed = lambda column, names: F.when(column.isin(list(names)), column).otherwise(F.lit(OTHER))
     topic = form_topic(text_col) if topic is None else topic
@@ -99,13 +143,11 @@ def mix(docs: DataFrame, targets: Targets, topic: Column | None = None, budget_t
     names = ["mix_source", "mix_lang", "mix_topic"]
     sums = rows.groupBy(*names).agg(F.sum("mix_tokens").alias("t")).collect()
     cells = {(r[0], r[1], r[2]): r.t for r in sums}
-    weights = rake(cells, targets)
-    top = max(weights.values(), default=0.0)
-    scale = 1 / top if top else 0.0
+    part = covered(cells, targets)
     if budget_tokens is not None and cells:
-        expected = sum(cells[k] * weights[k] for k in cells)
-        scale = min(scale, budget_tokens / expected) if expected else 0.0
-    table = [(*k, w, min(1.0, w * scale)) for k, w in weights.items()]
+        part = min(part, budget_tokens / sum(cells.values()))
+    weights = rake(cells, targets, part=part) if part else dict.fromkeys(cells, 0.0)
+    table = [(*k, w, min(1.0, w * part)) for k, w in weights.items()]
     schema = "mix_source string, mix_lang string, mix_topic string, mix_weight double, mix_probability double"
     table = docs.sparkSession.createDataFrame(table, schema)
     draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))

@@ -95,6 +95,20 @@ def test_mix_draws_by_probability(spark, docs_of):
     assert mixing.mix(docs_of(), targets).count() == 0
 
 
+def test_a_scarce_value_does_not_thin_the_mix(spark, docs_of):
+    langs = ["en"] * 14 + ["de"] * 4 + ["fr"] * 4 + ["es"] * 3
+    rows = [(i, "word " * 500, langs[i // 20 % 25], f"src{i % 20}") for i in range(4000)]
+    topic = F.element_at(F.array(*map(F.lit, ["article"] * 49 + ["long"] * 47 + ["short"] * 2 + ["table"] * 2)), (F.xxhash64("doc_id") % 50 + 51).cast("int"))
+    for odd in ((9000, "word " * 500, "en", None), (9000, "word " * 500, None, "src3"), (9000, "|" * 500, None, "unlisted")):
+        out = mixing.mix(docs_of(*rows, odd), queries.TARGETS, topic).where("mix_kept").collect()
+        assert len(out) > 3800 and any(r.doc_id == 9000 for r in out)
+    # A listed source with a single document, too, is kept whole and leaves the rest as it is.
+    out = mixing.mix(docs_of(*(r for r in rows if r[3] != "src7" or r[0] == 7)), queries.TARGETS, topic).where("mix_kept").collect()
+    assert len(out) > 3500 and any(r.doc_id == 7 for r in out)
+    part = mixing.mix(docs_of(*rows, (9000, "word " * 500, "en", None)), queries.TARGETS, topic, budget_tokens=1_000_000).where("mix_kept").count()
+    assert 1800 < part < 2200
+
+
 def test_archive_round_trip(spark):
     big = "<p>é</p>" * 200
     rows = [(1, "u1", big), (5, "u5", big), (3, "u\r\n3", big), (2, None, "small"), (4, "u4", "small"), (6, "u6", None), (None, "n", big), (5, "u5", big), (7, "u7", "x" * 300_000)]
