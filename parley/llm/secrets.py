@@ -3,7 +3,7 @@
 Base kinds are found by fixed patterns.  A wider pattern gives further candidates: long mixed runs that
 could be credentials.  Every candidate value is hashed and counted over the whole corpus by distinct
 owners and repositories.  A value that several owners hold is a copied example; one that stays with few
-owners looks live, and such wider candidates become spans of the kind ``owned``.
+owners looks live, in however many repositories, and such wider candidates become spans of the kind ``owned``.
 """
 
 from __future__ import annotations
@@ -68,12 +68,13 @@ def _named(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s.rank), s.start, s.end)), ",")
 
 
-def scan(docs: DataFrame, max_owners: int = 2, max_repositories: int = 10, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id") -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example`` per row.
+def scan(docs: DataFrame, max_owners: int = 2, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repository_col: str = "doc_id") -> DataFrame:
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, n_repositories`` per row.
 
     ``n_live`` counts spans whose value has at most ``max_owners`` owners, ``n_example`` the others; a wider
-    candidate is a span only if it is live and in at most ``max_repositories`` repositories.  Spans are ``kind:start:end`` in code points by start, then
-    kind.  A null text is an empty one.  A null owner or repository counts as one more value.  Rows
+    candidate is a span only if it is live.  ``n_repositories`` is the most repositories that hold the value of
+    one of the row's spans, 0 without any; it decides nothing.  Spans are ``kind:start:end`` in code points by
+    start, then kind.  A null text is an empty one.  A null owner or repository counts as one more value.  Rows
     repeated under one id are scanned each.  Empty tables give no rows; other columns are not read.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -103,11 +104,11 @@ def scan(docs: DataFrame, max_owners: int = 2, max_repositories: int = 10, id_co
     spread = owners.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
     spread = materialise(spread, "spread")
     live = F.col("owners") <= max_owners
-    added = live & (F.col("repositories") <= max_repositories)
-    judged = each.join(spread, "hash").where((F.col("rank") < 3) | added)
+    judged = each.join(spread, "hash").where((F.col("rank") < 3) | live)
     judged = judged.groupBy("row").agg(
         F.count(F.when(live, 1)).alias("n_live"),
         F.count(F.when(~live, 1)).alias("n_example"),
+        F.max("repositories").alias("n_repositories"),
         F.collect_list(F.when(F.col("rank") == 3, F.struct("start", "rank", "end"))).alias("owned"),
     )
     judged = materialise(judged, "judged")
@@ -121,5 +122,6 @@ def scan(docs: DataFrame, max_owners: int = 2, max_repositories: int = 10, id_co
         "doc_id", "n_assign", "n_access", "n_hex",
         F.sha2(_named(F.col("base")), 256).alias("base_sha256"), _named(every).alias("spans"),
         F.coalesce("n_live", F.lit(0)).alias("n_live"), F.coalesce("n_example", F.lit(0)).alias("n_example"),
+        F.coalesce("n_repositories", F.lit(0)).alias("n_repositories"),
     )
 

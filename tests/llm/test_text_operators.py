@@ -171,6 +171,14 @@ def test_secrets_of_many_owners_are_examples(spark, docs_of):
     assert secrets.scan(docs_of()).count() == 0
 
 
+def test_a_key_of_one_owner_is_live_in_any_number_of_documents(spark, docs_of):
+    value, copied = "Zm9vYmFyMTIzNDU2Nzg5MDEyMzQ1Njc4", "QWxsIG93bmVycyBjb3B5IHRoaXMgMTIz"
+    rows = [(i, f"key {value}", "en", "one") for i in range(50)] + [(100 + i, f"key {copied}", "en", f"owner{i % 3}") for i in range(50)] + [(200, "none", "en", "one")]
+    got = secrets.scan(docs_of(*rows)).collect()
+    assert {(r.spans, r.n_live, r.n_example, r.n_repositories) for r in got if r.doc_id < 100} == {("owned:4:36", 1, 0, 50)}
+    assert {(r.spans, r.n_live, r.n_repositories) for r in got if r.doc_id >= 100} == {("", 0, 0)}
+
+
 def test_quality_counts_equal_python(spark, docs_of):
     rng = random.Random(2)
     prose = lambda k: " ".join(rng.choice(["the", "of", "and", "House", "rivers", "mountain", "is", "in,", "cold."]) + ("" if rng.random() < 0.9 else rng.choice(VOCAB)) for _ in range(k))
