@@ -139,6 +139,19 @@ def test_decontamination_finds_new_parameters_but_no_inconsistent_ones(spark, do
     assert decontaminate.contaminated(docs_of(*rows), items.where("item_id > 0")).count() == 0
 
 
+def test_decontamination_finds_copies_that_are_dense_in_slots_or_short(spark, docs_of):
+    dense = "12 kg 14 kg and 9 km 31 cm 45 mm 7 lb 80 g 22 oz 61 in 18 ft 93 mi total"
+    item = "Pay 12 then add 30 to the old sum and take 12 off the 44 left over at last so 75 stays in the red box by the door of 81"
+    items = spark.createDataFrame([(0, dense), (1, "what is 17 times 23"), (2, item), (3, "yes")], "item_id long, text string")
+    rows = [
+        (1, f"Some words before. {dense}, and after"), (2, dense.replace("9", "8").replace("1", "6")), (3, 'asked "What is 17 times 23" of him'),
+        (4, "what is 18 times 23"), (5, item.replace("take 12", "take 13")), (6, "yes it is"), (7, " Yes. "),
+    ]
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs_of(*rows), items).collect()}
+    assert set(got) == {(1, 0), (3, 1), (5, 2), (7, 3)}
+    assert got[3, 1].n_windows == got[3, 1].item_windows == 1 and got[1, 0].n_windows == got[1, 0].item_windows
+
+
 def test_secret_spans_equal_python(spark, docs_of):
     rng = random.Random(1)
     hexes = ["".join(rng.choice("0123456789abcdef") for _ in range(k)) for k in (31, 32, 40)]
