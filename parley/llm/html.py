@@ -1,6 +1,7 @@
 """Main text of web pages by gradient-boosted trees over the nodes of the DOM.
 
-A page becomes a tree of its block elements with the text runs between them.  Every node has features of
+A page becomes a tree of its block elements with the text runs between them; a run directly under the page is
+a node of its own.  Every node has features of
 its subtree (text density, link share, counts), attribute tokens, depth and siblings; boosted trees give
 the chance that it holds main text.  The most likely labelling of the whole tree is taken in which no
 node is main below one that is not, so ancestors and descendants never contradict each other.
@@ -15,7 +16,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,9 @@ from parley.llm.tables import map_rows
 # Element names of the HTML standard by the role they play here.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style noscript template iframe object textarea title svg math canvas audio video head".split())
+# Their end may be missing only by mistake, so without one they swallow nothing but their own tag.
+HOLDER = RAW - set("script style textarea head".split())
+FOREIGN = {"svg", "math"}  # "/>" ends them
 INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em embed font i img ins kbd label link mark meta nobr q rp rt ruby s "
     "samp small span strike strong sub sup time tt u var wbr".split()
@@ -60,6 +64,9 @@ _GOOD, _BAD = set(GOOD), set(BAD)
 
 MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>", re.S)
+HOLDERS = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(script|style|textarea)(?=[\s/>]).*?(?:</\1\s*>|\Z)|<(/?)({'|'.join(sorted(HOLDER))})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I
+)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -83,18 +90,50 @@ class Tree:
     runs: list[tuple[int, str]] = field(default_factory=list)
 
 
+def _held(source: str) -> dict[int, int]:
+    """Where each holder element that has an end tag of its own ends, by the end of its start tag."""
+    ends: dict[int, int] = {}
+    open_: dict[str, list[int]] = {name: [] for name in HOLDER}
+    for found in HOLDERS.finditer(source):
+        if found.group(3):
+            name = found.group(3).lower()
+            if not found.group(2) and not (name in FOREIGN and found.group(4).endswith("/")):
+                open_[name].append(found.end())
+            elif found.group(2) and open_[name]:
+                ends[open_[name].pop()] = found.end()
+    return ends
+
+
 def parse(source: str) -> Tree:
     """Read a page, however broken; nothing is raised for any text."""
     tree = Tree()
     stack: list[tuple[str, int]] = [("html", 0)]  # open elements; an inline one has its block's node
     anchors = 0
+    breaks = 0
     pending: list[str] = []
+    held: dict[int, int] | None = None
+
+    def add(tag: str, parent: int, words: tuple[str, ...], hidden: bool) -> int:
+        tree.tag.append(tag)
+        tree.parent.append(parent)
+        tree.words.append(words)
+        tree.hidden.append(hidden)
+        tree.links.append(0)
+        tree.link_chars.append(0)
+        return len(tree.tag) - 1
 
     def flush() -> None:
         text = " ".join(entities.unescape("".join(pending)).split())
         pending.clear()
-        if text:
-            tree.runs.append((stack[-1][1], text))
+        if not text:
+            return
+        node = stack[-1][1]
+        if not node:
+            # A run directly under the page: a node of its own, with the links in it.
+            node = add("", 0, (), False)
+            for counts in (tree.links, tree.link_chars):
+                counts[0], counts[node] = 0, counts[0]
+        tree.runs.append((node, text))
 
     def close(depth: int) -> None:
         nonlocal anchors
@@ -104,7 +143,10 @@ def parse(source: str) -> Tree:
         del stack[depth:]
 
     def text(piece: str) -> None:
+        nonlocal breaks
         pending.append(piece)
+        if not piece.isspace():
+            breaks = 0
         if anchors:
             tree.link_chars[stack[-1][1]] += len(piece)
 
@@ -136,6 +178,16 @@ def parse(source: str) -> Tree:
             continue
         if name == "br" or name == "hr":
             pending.append(" ")
+            breaks += 1
+            # Directly under the page an empty line ends a paragraph.
+            if not stack[-1][1] and (breaks > 1 or name == "hr"):
+                flush()
+        if name in HOLDER:
+            flush()
+            if name not in FOREIGN or not (found.group(3) or "").endswith("/"):
+                held = _held(source) if held is None else held
+                at = held.get(at, at)
+            continue
         if name in RAW and name != "head":
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(source, at)
             at = end.end() if end else size
@@ -159,14 +211,9 @@ def parse(source: str) -> Tree:
                     tree.links[stack[-1][1]] += 1
             continue
         flush()
-        tree.tag.append(name)
-        tree.parent.append(stack[-1][1])
         named = [next(filter(None, m.groups()[1:]), "") for m in ATTRIBUTE.finditer(attributes)]
-        tree.words.append(tuple(p.lower() for p in PART.findall(" ".join(named))))
-        tree.hidden.append(bool(attributes) and bool(HIDDEN.search(attributes)))
-        tree.links.append(0)
-        tree.link_chars.append(0)
-        stack.append((name, len(tree.tag) - 1))
+        words = tuple(p.lower() for p in PART.findall(" ".join(named)))
+        stack.append((name, add(name, stack[-1][1], words, bool(attributes) and bool(HIDDEN.search(attributes)))))
     flush()
     return tree
 
@@ -296,8 +343,23 @@ def _layout(blocks: list[str], other: list[str], rng: random.Random) -> tuple[st
     return f"<html><head><title>{esc(blocks[0])}</title></head><body>{page}</body></html>"
 
 
-def training_rows(pages: list[str], layouts: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of the nodes of ``layouts`` new pages per sampled page; a node is main if a marked text is in it."""
+def _plain_layout(blocks: list[str], other: list[str], rng: random.Random) -> str:
+    """A page whose main paragraphs, with a mark, stand directly under it between lines of links, short notices and some blocks."""
+    esc = entities.escape
+    short = lambda: " ".join(esc(rng.choice(other)).split()[: rng.randint(1, 5)])
+    links = lambda: rng.choice([" | ", " ", " - "]).join(f"<a href='/{i}'>{short()}</a>" for i in range(rng.randint(2, 8)))
+    block = lambda: rng.choice(["<div>{}</div>", "<ul><li>{}</li></ul>", "<nav>{}</nav>", "<footer>{}</footer>"]).replace("{}", links())
+    edge = lambda k: [rng.choice([links, links, short, block])() for _ in range(k)]
+    inline = lambda t: rng.choice(["{}", "{}", "{}", "{} <a href='/z'>more</a>", "<b>{}</b>", "<span>{}</span>"]).replace("{}", t)
+    parts = edge(rng.randint(0, 2)) + [inline("\x01" + esc(b)) for b in blocks] + edge(rng.randint(0, 1)) + [links()]
+    return "<html><body>" + rng.choice(["<br><br>", "<br/>\n<br/>", "<hr>"]).join(parts) + "</body></html>"
+
+
+def training_rows(pages: list[str], layouts: int, seed: int, plain: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of the nodes of ``layouts`` new pages per sampled page; a node is main if a marked text is in it.
+
+    With ``plain``, of the runs directly under the page only, from pages that have the main text there.
+    """
     rng = random.Random(seed)
     texts = [[t for _, t in parse(p).runs if len(t) >= 20] for p in pages]
     texts = [t for t in texts if t]
@@ -306,7 +368,7 @@ def training_rows(pages: list[str], layouts: int, seed: int) -> tuple[np.ndarray
     for page in texts:
         for _ in range(layouts):
             blocks = [t for t in rng.sample(page, min(len(page), rng.randint(1, 14)))]
-            tree = parse(_layout([rng.choice(blocks)[:60], *blocks], pool, rng))
+            tree = parse(_plain_layout(blocks, pool, rng) if plain else _layout([rng.choice(blocks)[:60], *blocks], pool, rng))
             label = np.zeros(len(tree.tag))
             for k, (node, text) in enumerate(tree.runs):
                 if "\x01" in text:
@@ -314,14 +376,15 @@ def training_rows(pages: list[str], layouts: int, seed: int) -> tuple[np.ndarray
                         label[node] = 1
                         node = tree.parent[node]
             tree.runs = [(node, text.replace("\x01", "")) for node, text in tree.runs]
-            rows.append(node_features(tree)[1:])
-            labels.append(label[1:])
+            used = np.array([tag == "" if plain else i > 0 for i, tag in enumerate(tree.tag)])
+            rows.append(node_features(tree)[used])
+            labels.append(label[used])
     return (np.concatenate(rows), np.concatenate(labels)) if rows else (np.zeros((0, len(FEATURES))), np.zeros(0))
 
 
 @dataclass(frozen=True)
 class Boosted:
-    """Trees as arrays: a node's feature, threshold, children and value; a leaf's children are itself."""
+    """Trees as arrays: a node's feature, threshold, children and value; a leaf's children are itself.  ``plain`` judges runs directly under the page."""
 
     feature: np.ndarray
     threshold: np.ndarray
@@ -330,6 +393,7 @@ class Boosted:
     value: np.ndarray
     roots: np.ndarray
     depth: int
+    plain: Boosted | None = None
 
     def chance(self, rows: np.ndarray) -> np.ndarray:
         at = np.broadcast_to(self.roots, (len(rows), len(self.roots))).copy()
@@ -338,6 +402,15 @@ class Boosted:
             at = np.where(rows[which, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
         return 1 / (1 + np.exp(-2 * self.value[at].sum(1)))
 
+    def judge(self, trees: list[Tree]) -> np.ndarray:
+        """The chance of every node of ``trees``, one tree after the other."""
+        rows = np.concatenate([node_features(t) for t in trees])
+        chance = self.chance(rows)
+        loose = np.array([tag == "" for t in trees for tag in t.tag])
+        if self.plain and loose.any():
+            chance[loose] = self.plain.chance(rows[loose])
+        return chance
+
 
 def _arrays(model: GBTClassificationModel, depth: int) -> Boosted:
     rows: list[list[float]] = []
@@ -372,10 +445,13 @@ def fit(pages: DataFrame, how: Training = Training(), id_col: str = "page_id", h
     """Boosted trees from a bounded sample of pages, taken in the order of a hash of the id; None without any text."""
     rows = pages.where(F.col(html_col).isNotNull()).select(F.xxhash64(F.col(id_col), F.lit(how.seed)).alias("at"), F.col(html_col).alias("html"))
     sample = [r.html for r in rows.orderBy("at", F.xxhash64("html")).limit(how.sample_pages).collect()]
-    x, y = training_rows(sample, how.layouts, how.seed)
+    model, plain = (_boosted(pages.sparkSession, *training_rows(sample, how.layouts, how.seed, kind), how) for kind in (False, True))
+    return model and replace(model, plain=plain)
+
+
+def _boosted(spark: SparkSession, x: np.ndarray, y: np.ndarray, how: Training) -> Boosted | None:
     if not len(y):
         return None
-    spark = pages.sparkSession
     table = spark.createDataFrame(pa.table({"label": y, "row": pa.array(list(x), pa.list_(pa.float64()))}))
     table = table.select("label", array_to_vector("row").alias("features")).coalesce(4).cache()
     model = GBTClassifier(maxIter=how.trees, maxDepth=how.depth, stepSize=0.3, seed=how.seed).fit(table)
@@ -399,11 +475,10 @@ def extract(pages: DataFrame, model: Boosted | None, id_col: str = "page_id", ur
         source = batch.column("html").to_pylist()
         for begin in range(0, len(source), 64):
             trees = [parse(s or "") for s in source[begin : begin + 64]]
-            rows = [node_features(t) for t in trees]
-            chance = model.chance(np.concatenate(rows)) if model else np.zeros(sum(map(len, rows)))
+            chance = model.judge(trees) if model else np.zeros(sum(len(t.tag) for t in trees))
             texts, at = [], 0
             for tree in trees:
-                # The page itself is always open; text that stands directly in it counts as no block's.
+                # The page itself is always open, but holds no text.
                 main = decode(tree.parent, chance[at : at + len(tree.tag)])
                 at += len(tree.tag)
                 texts.append(main_text(tree, main) if main[1:].any() else "")

@@ -164,6 +164,22 @@ def test_main_text(spark):
     assert html.fit(pages.limit(0)) is None and html.extract(pages.limit(0), None).count() == 0
 
 
+PROSE = [f"Paragraph {i} of the article has some length, and a full stop. It goes on for a while, to look like prose." for i in "abcdef"]
+
+
+def test_main_text_without_blocks_and_after_open_elements(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    model = html.fit(pages, html.Training(sample_pages=40, layouts=4))
+    loose = "<html><body>" + "<br><br>".join(["<a href=/>Start</a> | <a href=/x>About</a> | <a href=/y>More</a>", PROSE[0], f"<b>{PROSE[1]}</b>", *PROSE[2:]]) + "</body></html>"
+    whole = "<article>" + "".join(f"<p>{p}</p>" for p in PROSE) + "</article>"
+    odd = ["<svg width=1 />", "<video src=a.mp4 />", "<noscript>", "<template>", "<iframe src=x>", "<canvas><video src=a /><video src=b>old</video>", "<svg><svg/><path></svg>"]
+    rows = [(0, "u", loose)] + [(i, "u", f"<html><body>{o}{whole}</body></html>") for i, o in enumerate(odd, 1)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), model).collect()}
+    assert got == {i: "\n\n".join(PROSE) for i in range(len(rows))}
+    hidden = html.parse("<p>a</p><svg><svg>x</svg>y</svg><noscript>z</noscript><script>q</script><!-- <video> --><p>b</p><style>c")
+    assert [t for _, t in hidden.runs] == ["a", "b"]
+
+
 def test_labels_never_contradict():
     rng = np.random.default_rng(7)
     for _ in range(50):
