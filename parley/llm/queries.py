@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, html, langid, lines, mixing, near, quality, secrets, sharding, warc
+from parley.llm import decontaminate, html, langid, lines, mixing, near, quality, repeats, secrets, sharding, warc
 from parley.runtime import scratch_path
 
 # Wanted token shares; each margin is scaled over the values that occur.  Other values keep their observed share.
@@ -69,11 +69,17 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = repeats.cut_repeats(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_quality_divergence, op3_line_dedup, op4_virtual_slots, op5_template_decontamination,
         op6_main_text, op7_raked_mix, op8_warc_archive, op9_secret_ownership, op10_compression_language,
+        op13_substring_dedup,
     )
 }
 
@@ -103,4 +109,22 @@ ORACLE: dict[str, str] = {
                CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to
         FROM g
     """,
+    "op13_substring_dedup": r"""
+        WITH cut AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), word AS (
+            SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM cut
+        ), windowed AS (
+            SELECT doc_id, w, i, CASE WHEN count(*) OVER ahead = 20 THEN string_agg(w, ' ') OVER ahead END AS k FROM word
+            WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)
+        ), again AS (
+            SELECT doc_id, w, i, k IS NOT NULL AND row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS later FROM windowed
+        ), marked AS (
+            SELECT doc_id, w, i, bool_or(later) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+            FROM again
+        )
+        SELECT doc_id, count(w) AS n_words, count(*) FILTER (gone) AS n_removed,
+               sha256(coalesce(string_agg(w, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM documents LEFT JOIN marked USING (doc_id) GROUP BY doc_id
+    """,
 }

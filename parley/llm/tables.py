@@ -9,6 +9,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parley.runtime import scratch_path
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Tables of one run in the shared folder: written once, their shuffle files dropped with the write, removable when read."""
+
+    def __init__(self, df: DataFrame):
+        self.spark = df.sparkSession
+        self.paths: dict[int, str] = {}
+
+    def write(self, df: DataFrame, label: str, *done: DataFrame) -> DataFrame:
+        """``df`` as a table; the tables ``done`` were read for the last time and are removed."""
+        path, before = scratch_path(self.spark, label), self.spark.conf.get(CLEANUP, "false")
+        self.spark.conf.set(CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(CLEANUP, before)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(table)] = path
+        self.remove(*done)
+        return table
+
+    def remove(self, *tables: DataFrame) -> None:
+        jvm = self.spark._jvm
+        for table in tables:
+            path = jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(table)))
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def map_rows(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], Iterator[list] | list]) -> DataFrame:
     """``fn`` turns a batch into columns, or yields several column lists; ``schema`` names them."""
