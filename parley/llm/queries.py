@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, html, langid, lines, mixing, near, quality, repeats, secrets, sharding, warc
+from parley.llm import decontaminate, html, langid, lines, mixing, near, quality, repeats, secrets, sharding, spelling, warc
 from parley.runtime import scratch_path
 
 # Wanted token shares; each margin is scaled over the values that occur.  Other values keep their observed share.
@@ -69,6 +69,10 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = repeats.cut_repeats(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -79,7 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_near_duplicates, op2_quality_divergence, op3_line_dedup, op4_virtual_slots, op5_template_decontamination,
         op6_main_text, op7_raked_mix, op8_warc_archive, op9_secret_ownership, op10_compression_language,
-        op13_substring_dedup,
+        op12_spelling_variants, op13_substring_dedup,
     )
 }
 
@@ -109,6 +113,49 @@ ORACLE: dict[str, str] = {
                CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to
         FROM g
     """,
+    "op12_spelling_variants": r"""
+        WITH RECURSIVE crc AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                   lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+        ), run AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS r FROM documents
+        ), counted AS (
+            SELECT coalesce(doc_id::VARCHAR, '') || ':' || r AS s, r, count(*) AS tf FROM run GROUP BY doc_id, r
+        ), octets AS (
+            SELECT r, tf, flatten(list_transform(string_split(s, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)]
+                   ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS b FROM counted
+        ), hashed AS (
+            SELECT r, tf, xor(list_reduce(list_prepend(4294967295, b::BIGINT[]),
+                   lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM octets, crc
+        ), v AS (
+            SELECT CASE WHEN h % 199 = 0 THEN substr(r, 1, h % length(r)) || substr(r, h % length(r) + 2) ELSE r END AS word,
+                   sum(tf)::BIGINT AS n
+            FROM hashed GROUP BY 1 HAVING n >= 5 AND length(word) >= 6
+        ), cut AS (
+            SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)
+        ), shorter AS (
+            SELECT DISTINCT cut.word, cut.n, v.word AS near, v.n AS near_n FROM cut JOIN v ON cut.rest = v.word
+        ), near AS (
+            SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b USING (rest, i) WHERE a.word <> b.word
+            UNION ALL SELECT word, n, near, near_n FROM shorter
+            UNION ALL SELECT near, near_n, word, n FROM shorter
+        ), best AS (
+            SELECT word, count(*) AS n_near, arg_max(near, (near_n, -rank)) AS top, max(near_n) AS top_n
+            FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY near) AS rank
+                  FROM (SELECT DISTINCT word, near, near_n FROM near)) GROUP BY word
+        ), told AS (
+            SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 5 * n THEN top END AS form,
+                   CASE WHEN top_n >= 5 * n THEN top_n END AS form_n
+            FROM v LEFT JOIN best USING (word)
+        ), chain AS (
+            SELECT word, word AS reached FROM told
+            UNION ALL SELECT chain.word, told.form FROM chain JOIN told ON told.word = chain.reached WHERE told.form IS NOT NULL
+        )
+        SELECT told.word, told.form, chain.reached AS root, told.n, told.n_near, told.form_n
+        FROM told JOIN chain USING (word) JOIN told AS last ON last.word = chain.reached WHERE last.form IS NULL
+    """,
     "op13_substring_dedup": r"""
         WITH cut AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
