@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parley.llm import decontaminate, html, langid, lines, mixing, near, quality, repeats, secrets, sharding, spelling, warc
+from parley.llm import decontaminate, html, langid, lines, mixing, near, quality, repeats, search, secrets, sharding, spelling, warc
 from parley.runtime import scratch_path
 
 # Wanted token shares; each margin is scaled over the values that occur.  Other values keep their observed share.
@@ -69,6 +69,10 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(_table(spark, sf_dir, "documents"))
 
@@ -83,7 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_near_duplicates, op2_quality_divergence, op3_line_dedup, op4_virtual_slots, op5_template_decontamination,
         op6_main_text, op7_raked_mix, op8_warc_archive, op9_secret_ownership, op10_compression_language,
-        op12_spelling_variants, op13_substring_dedup,
+        op11_ball_tree_search, op12_spelling_variants, op13_substring_dedup,
     )
 }
 
@@ -113,6 +117,32 @@ ORACLE: dict[str, str] = {
                CASE WHEN n >= 1000 AND page_id <> holder THEN holder END AS refers_to
         FROM g
     """,
+    "op11_ball_tree_search": r"""
+        WITH term AS (
+            SELECT doc_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents WHERE text IS NOT NULL
+        ), size AS (
+            SELECT doc_id, count(*)::BIGINT AS n FROM term GROUP BY doc_id
+        ), corpus AS (
+            SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM size
+        ), held AS (
+            SELECT doc_id, t, count(*)::BIGINT AS tf FROM term GROUP BY doc_id, t
+        ), weight AS (
+            SELECT t, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM held, corpus GROUP BY t
+        ), asked AS (
+            SELECT DISTINCT item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+                                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM benchmark WHERE text IS NOT NULL
+        ), scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+            FROM asked JOIN weight USING (t) JOIN held USING (t) JOIN size USING (doc_id), corpus GROUP BY item_id, doc_id
+        ), ranked AS (
+            SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+            FROM scored WHERE score > 0
+        )
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
     "op12_spelling_variants": r"""
         WITH RECURSIVE crc AS (
             SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
