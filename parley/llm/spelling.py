@@ -238,7 +238,7 @@ def variants(docs: DataFrame, rule: Spelling = Spelling(), id_col: str = "doc_id
     scratch = Scratch(docs)
     words = scratch.write(vocabulary(docs, rule, id_col, text_col), "vocabulary")
     if words.isEmpty():
-        return words.selectExpr("word", "string(null) as form", "word as root", "n", "0L as n_near", "long(null) as form_n")
+        return words.selectExpr("word", "string(null) as form", "word as root", "n", "0L as n_near", "bigint(null) as form_n")
     best = neighbours(words, rule, scratch).groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near"))).alias("top")
     )
