@@ -69,6 +69,7 @@ HOLDERS = re.compile(
 )
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 FEATURES = (
@@ -204,7 +205,8 @@ def parse(source: str) -> Tree:
                     break
         attributes = found.group(3) or ""
         if name in INLINE:
-            if not attributes.endswith("/"):
+            # A "/" in an unquoted value, as in <a href=/>, ends nothing.
+            if not CLOSED.search(attributes):
                 stack.append((name, stack[-1][1]))
                 if name == "a":
                     anchors += 1
@@ -275,7 +277,11 @@ def decode(parent: list[int], chance: np.ndarray) -> np.ndarray:
 
 
 def _layout(blocks: list[str], other: list[str], rng: random.Random) -> tuple[str, list[str]]:
-    """A page of one of several designs; main paragraphs carry a mark ``m``, all other texts do not."""
+    """A page of one of several designs; main paragraphs carry a mark, all other texts do not.
+
+    Every page has a line of links in a block of any class or none, and a title of one to ten words, so that no fit lacks the
+    cases that differ by little else.
+    """
     esc = entities.escape
     some = lambda k: [esc(rng.choice(other)) for _ in range(k)]
     short = lambda: " ".join(esc(rng.choice(other)).split()[: rng.randint(1, 5)])
@@ -283,6 +289,12 @@ def _layout(blocks: list[str], other: list[str], rng: random.Random) -> tuple[st
     menu = lambda: "<ul>" + "".join(f'<li><a href="/{i}">{short()}</a></li>' for i in range(rng.randint(2, 12))) + "</ul>"
     div = lambda inside, *names: f"<div {kind(*names)}>{inside}</div>"
     paras = lambda k: "".join(f"<p>{t}</p>" for t in some(k))
+    head = lambda text: esc(" ".join(text.split()[: rng.randint(1, 10)]))
+
+    def line() -> str:
+        links = rng.choice([" ", " ", " | ", ", ", ""]).join(f'<a href="/{i}">{short()}</a>' for i in range(rng.randint(1, 8)))
+        named = kind("top", "bar", "row", "links", "box", "inner", "line", "left", "c1", "hd", "body", "page")
+        return rng.choice([f"<div>{links}</div>", f"<div {named}>{links}</div>", f"<div {named}>{links}</div>", f"<p>{links}</p>", f"<div {named}><p>{links}</p></div>", f"<table><tr><td>{links}</td></tr></table>"])
 
     def extra() -> str:
         return rng.choice(
@@ -294,7 +306,7 @@ def _layout(blocks: list[str], other: list[str], rng: random.Random) -> tuple[st
                 lambda: div(menu(), "related", "share", "social", "tags", "recommended", "breadcrumb"),
                 lambda: div(f"<h3>{short()}</h3>" + paras(rng.randint(1, 3)), "newsletter", "subscribe", "widget", "sidebar", "popup"),
                 lambda: f"<nav>{menu()}</nav>",
-                lambda: div("".join(f'<a href="/{i}">{short()}</a> ' for i in range(rng.randint(2, 8))), "top", "bar", "row", "links"),
+                line,
             ]
         )()
 
@@ -308,11 +320,11 @@ def _layout(blocks: list[str], other: list[str], rng: random.Random) -> tuple[st
     def block(text: str) -> str:
         t = esc(text)
         form = rng.random()
-        if form < 0.05:
-            return f"<h2>\x01{t}</h2>"
-        if form < 0.1:
+        if form < 0.08:
+            return "<h{0}>\x01{1}</h{0}>".format(rng.randint(2, 4), head(text))
+        if form < 0.12:
             return f"<ul><li>\x01{t}</li><li>\x01{t}</li></ul>"
-        if form < 0.14:
+        if form < 0.15:
             return f"<blockquote>\x01{t}</blockquote>"
         if form < 0.18:
             return f"<div>\x01{t}</div>"
@@ -322,7 +334,8 @@ def _layout(blocks: list[str], other: list[str], rng: random.Random) -> tuple[st
             return f"<p>\x01{t} <a href='/z'>{t[:30]}</a></p>"
         return f"<p>\x01{t}</p>"
 
-    inner = f"<h1>\x01{esc(blocks[0])}</h1>" + "".join(block(b) + (extra() if rng.random() < 0.06 else "") for b in blocks[1:])
+    level, named = rng.choice(["h1", "h1", "h1", "h2"]), rng.choice(["", "", "", ' class="title"', ' id="t1"'])
+    inner = f"<{level}{named}>\x01{head(blocks[0])}</{level}>" + "".join(block(b) + (extra() if rng.random() < 0.06 else "") for b in blocks[1:])
     if rng.random() < 0.2:
         inner += comments()
     opened = rng.choice(
@@ -335,7 +348,8 @@ def _layout(blocks: list[str], other: list[str], rng: random.Random) -> tuple[st
     )
     body = opened[0] + inner + opened[1]
     before = [rng.choice([lambda: f"<nav>{menu()}</nav>", lambda: f"<header><p>{short()}</p>{menu()}</header>", lambda: f"<header><h1>{short()}</h1></header>", extra, lambda: div(menu(), "menu", "nav", "navbar", "header")])() for _ in range(rng.randint(0, 3))]
-    after = [extra() for _ in range(rng.randint(0, 2))] + ([comments()] if rng.random() < 0.5 else [])
+    before.insert(rng.randint(0, len(before)), line())
+    after = [line()] * (rng.random() < 0.4) + [extra() for _ in range(rng.randint(0, 2))] + ([comments()] if rng.random() < 0.5 else [])
     after += [rng.choice([lambda: f"<footer>{short()} {some(1)[0]}</footer>", lambda: f"<footer>{paras(2)}</footer>", lambda: div(f"<p>{some(1)[0]}</p>" + menu(), "footer", "copyright")])()] if rng.random() < 0.9 else []
     page = "".join([*before, body, *after])
     if rng.random() < 0.3:
@@ -436,7 +450,7 @@ class Training:
 
     sample_pages: int = 120
     layouts: int = 6
-    trees: int = 12
+    trees: int = 20
     depth: int = 5
     seed: int = 11
 
@@ -452,9 +466,11 @@ def fit(pages: DataFrame, how: Training = Training(), id_col: str = "page_id", h
 def _boosted(spark: SparkSession, x: np.ndarray, y: np.ndarray, how: Training) -> Boosted | None:
     if not len(y):
         return None
-    table = spark.createDataFrame(pa.table({"label": y, "row": pa.array(list(x), pa.list_(pa.float64()))}))
-    table = table.select("label", array_to_vector("row").alias("features")).coalesce(4).cache()
-    model = GBTClassifier(maxIter=how.trees, maxDepth=how.depth, stepSize=0.3, seed=how.seed).fit(table)
+    # Both classes weigh the same.
+    weight = len(y) / (2 * np.where(y > 0, max(y.sum(), 1), max((1 - y).sum(), 1)))
+    table = spark.createDataFrame(pa.table({"label": y, "weight": weight, "row": pa.array(list(x), pa.list_(pa.float64()))}))
+    table = table.select("label", "weight", array_to_vector("row").alias("features")).coalesce(4).cache()
+    model = GBTClassifier(maxIter=how.trees, maxDepth=how.depth, stepSize=0.3, seed=how.seed, weightCol="weight").fit(table)
     table.unpersist()
     return _arrays(model, how.depth)
 
