@@ -215,7 +215,7 @@ def test_quality_counts_equal_python(spark, docs_of):
     m = (p + reference) / 2
     part = lambda a: sum(x * np.log2(x / y) for x, y in zip(a, m) if x > 0)
     want = ((part(p) + part(reference)) / 2) ** 0.5
-    one = spark.createDataFrame([(counts,)], "c array<long>").select(quality.distance(F.col("c"), reference)).first()[0]
+    one = spark.createDataFrame([(counts,)], "c array<long>").select(quality.distance(F.col("c"), F.array(*map(F.lit, reference)))).first()[0]
     assert abs(one - want) < 1e-12
     assert quality.judge(docs_of()).count() == 0
     assert quality.judge(docs_of((1, "no reference " * 40, None))).first().class_distance is None
