@@ -1,9 +1,10 @@
 """Sharding over fixed virtual slots.
 
-Every record hashes into one of a fixed number of virtual slots.  Bytes are summed per slot, and a map
+Every record hashes into one of a fixed number of virtual slots.  Bytes are summed per slot, and a stored map
 says which shard owns each slot.  The map is a small table with a version: rebalancing edits the owners
 of some slots and writes the next version, and records never hash anew.  The law that the map keeps is
-``bytes``: shards come out nearly equal in bytes.
+``bytes``: shards come out nearly equal in bytes.  A slot overfull with rows of one id (or without one) is
+dealt into parts, which are slots of their own in the map.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from parley.runtime import materialise, scratch_path
+
 VIRTUAL_SLOTS = 8192
 
 
@@ -22,8 +25,8 @@ def virtual_slot(column, slots: int = VIRTUAL_SLOTS):
     return F.pmod(F.xxhash64(column), F.lit(slots)).cast("int")
 
 
-def slot_bytes(records: DataFrame, slots: int = VIRTUAL_SLOTS) -> dict[int, int]:
-    """Bytes per slot of ``records(vslot, size)``: at most ``slots`` rows reach the driver."""
+def slot_bytes(records: DataFrame) -> dict[int, int]:
+    """Bytes per slot of ``records(vslot, size)``: one row per slot reaches the driver."""
     return {r.vslot: r.bytes for r in records.groupBy("vslot").agg(F.sum("size").alias("bytes")).collect()}
 
 
@@ -79,6 +82,44 @@ def load_map(spark: SparkSession, path: str, version: int) -> dict[int, int]:
     return {r.vslot: r.shard for r in rows}
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions stored at ``path``, none if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(folder)] if files.exists(folder) else []
+    return sorted(int(n.removeprefix("version=")) for n in names if n.startswith("version="))
+
+
+def dealt(rows: DataFrame, weights: dict[int, int], shards: int, slots: int) -> DataFrame:
+    """``rows`` with overfull slots dealt into parts of a sixteenth of a shard by row number; at most 16 parts a shard in all."""
+    part = max(1, sum(weights.values()) // (16 * shards))
+    parts = {s: -(-w // part) for s, w in sorted(weights.items()) if w > 4 * part}
+    if not parts:
+        return rows
+    first, at = {}, slots
+    for slot, n in parts.items():
+        first[slot], at = at, at + n
+    table = lambda values: F.element_at(F.create_map(*(F.lit(x).cast("int") for pair in values.items() for x in pair)), F.col("vslot"))
+    moved = table(first) + F.pmod(F.xxhash64("number"), table(parts)).cast("int")
+    return rows.withColumn("vslot", F.coalesce(moved, "vslot"))
+
+
+def stored_map(spark: SparkSession, path: str, weights: dict[int, int], shards: int) -> dict[int, int]:
+    """The map to place records by, as read back from ``path``: a first version, or the newest with as few slots moved as ``weights`` ask for."""
+    slots = max(weights, default=0) + 1
+    known = versions(spark, path)
+    if known:
+        old = load_map(spark, path, known[-1])
+        missing = {s: s % shards for s in range(slots) if s not in old}
+        owner, version = rebalanced({**old, **missing}, weights, shards), known[-1] + 1
+        if owner == old:
+            return old
+    else:
+        owner, version = new_map(weights, shards, slots), 1
+    save_map(spark, owner, version, path)
+    return load_map(spark, path, version)
+
+
 def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = VIRTUAL_SLOTS) -> DataFrame:
     """``doc_id, size, text_crc32, vslot``: UTF-8 bytes of the text (null: none) plus 8, and its checksum."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
@@ -103,19 +144,27 @@ def placed(rows: DataFrame, owner: dict[int, int]) -> DataFrame:
         table.append((vslot, owner[vslot], filled[owner[vslot]]))
         filled[owner[vslot]] += counts.get(vslot, 0)
     table = rows.sparkSession.createDataFrame(table, "vslot int, shard int, before long")
-    order = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32")
+    order = Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32", "number")
     numbered = rows.withColumn("place", F.row_number().over(order) - 1)
     return numbered.join(F.broadcast(table), "vslot").withColumn("slot", F.col("before") + F.col("place")).drop("before", "place")
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, slots: int = VIRTUAL_SLOTS, owner: dict[int, int] | None = None, **columns: str) -> DataFrame:
-    """``doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot`` per row; ``owner`` is a stored map, else a new one.
+def shard_documents(docs: DataFrame, shards: int = 24, slots: int = VIRTUAL_SLOTS, maps: str | None = None, **columns: str) -> DataFrame:
+    """``doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot`` per row.
 
-    Empty tables give no rows; extra columns are not read.  ``grown_shard`` is null, for under the law
-    ``bytes`` a larger number of shards is a matter of ``rebalanced``.
+    The map is stored and read at ``maps``, by default a folder of its own in the shared one: there a first version is
+    written, where one is stored it is edited and the next version written if anything moved.  A null text has no bytes;
+    rows under a repeated or null id are records each, and a slot overfull with them is dealt into parts, so one id may
+    hold any share of the rows.  Equal rows are interchangeable.  Empty tables give no rows; other columns are not read,
+    whatever their names.  ``grown_shard`` is null, for under the law ``bytes`` a larger number of shards is a matter of
+    ``rebalanced``.
     """
-    rows = records(docs, slots=slots, **columns)
-    owner = new_map(slot_bytes(rows, slots), shards, slots) if owner is None else owner
+    spark = docs.sparkSession
+    # Written once, so that every later pass sees the same row numbers.
+    rows = materialise(records(docs, slots=slots, **columns).withColumn("number", F.monotonically_increasing_id()), "records")
+    rows = dealt(rows, slot_bytes(rows), shards, slots)
+    weights = {**dict.fromkeys(range(slots), 0), **slot_bytes(rows)}
+    owner = stored_map(spark, maps or scratch_path(spark, "maps"), weights, shards)
     return placed(rows, owner).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), F.col("vslot").alias("virtual_slot"),
