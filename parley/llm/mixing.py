@@ -119,26 +119,27 @@ def rake(cells: Mapping[tuple[str, str, str], int], targets: Targets, rounds: in
     return dict(zip(keys, (fit / own).tolist()))
 
 
-def mix(docs: DataFrame, targets: Targets, topic: Column | None = None, budget_tokens: int | None = None, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``mix_source, mix_lang, mix_topic, mix_tokens, mix_weight, mix_probability, mix_kept``.
+def drawn(docs: DataFrame, targets: Targets, topic: Column | None = None, budget_tokens: int | None = None, seed: int = 17, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``row`` (all given columns as a struct), ``mix_source, mix_lang, mix_topic, mix_tokens, mix_weight, mix_probability, mix_kept``.
 
     The probability of a cell is its weight times the part of all tokens that the mix shall have: the tokens
     the targets ask for (``covered``), or ``budget_tokens``, if that is less.  Scarce cells and values are
     kept whole, at probability 1, so they do not thin the others; ``rake`` shares out the rest.  ``mix_kept``
     compares the probability with a hash of the id, so a document's fate does not depend on the partitions,
-    and rows repeated under one id share it.  A null source or language counts as ``other``, as does one
-    without a target.  Without ``topic`` the form of the text is taken.  Two passes over the texts, no
-    shuffle of them.
+    and rows repeated under one id share it; rows without an id are drawn by their text.  A null source or language
+    counts as ``other``, as does one without a target; a null or empty text weighs one token.  Without ``topic`` the
+    form of the text is taken.  Given columns may have any names; an empty table gives no rows.  Two passes over the
+    texts, whole, no shuffle of them.
     """
     listed = lambda column, names: F.when(column.isin(list(names)), column).otherwise(F.lit(OTHER))
     topic = form_topic(text_col) if topic is None else topic
-    rows = docs.withColumns(
-        {
-            "mix_source": listed(F.col("source"), targets.source),
-            "mix_lang": listed(F.col("lang"), targets.lang),
-            "mix_topic": listed(topic, targets.topic),
-            "mix_tokens": tokens(text_col),
-        }
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        listed(F.col("source"), targets.source).alias("mix_source"),
+        listed(F.col("lang"), targets.lang).alias("mix_lang"),
+        listed(topic, targets.topic).alias("mix_topic"),
+        tokens(text_col).alias("mix_tokens"),
+        F.when(F.col(id_col).isNull(), F.xxhash64(text_col, F.lit(seed))).otherwise(F.xxhash64(id_col, F.lit(seed))).alias("mix_draw"),
     )
     names = ["mix_source", "mix_lang", "mix_topic"]
     sums = rows.groupBy(*names).agg(F.sum("mix_tokens").alias("t")).collect()
@@ -150,5 +151,14 @@ def mix(docs: DataFrame, targets: Targets, topic: Column | None = None, budget_t
     table = [(*k, w, min(1.0, w * part)) for k, w in weights.items()]
     schema = "mix_source string, mix_lang string, mix_topic string, mix_weight double, mix_probability double"
     table = docs.sparkSession.createDataFrame(table, schema)
-    draw = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(1 << 52)) / F.lit(float(1 << 52))
-    return rows.join(F.broadcast(table), names).withColumn("mix_kept", draw < F.col("mix_probability"))
+    draw = F.pmod("mix_draw", F.lit(1 << 52)) / F.lit(float(1 << 52))
+    rows = rows.join(F.broadcast(table), names).withColumn("mix_kept", draw < F.col("mix_probability"))
+    return rows.drop("mix_draw")
+
+
+def mix(docs: DataFrame, targets: Targets, topic: Column | None = None, **how) -> DataFrame:
+    """``docs`` with the ``mix_`` columns of ``drawn``; given columns of these names give way to them."""
+    rows = drawn(docs, targets, topic, **how)
+    own = [c for c in rows.columns if c != "row"]
+    given = [F.col("row").getField(c).alias(c) for c in docs.columns if c.lower() not in own]
+    return rows.select(*given, *own)

@@ -33,7 +33,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn with the raked probabilities."""
-    return mixing.mix(docs, TARGETS).where("mix_kept").select(*docs.columns)
+    return mixing.drawn(docs, TARGETS).where("mix_kept").select("row.*")
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
