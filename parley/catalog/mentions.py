@@ -36,27 +36,51 @@ def mention_counts_by_source(spark, sf):
     return found.groupBy("source", F.lower("matched_phrase").alias("phrase")).agg(F.count("*").alias("n"))
 
 
-@query(r"""
-WITH tok AS (
-  SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t FROM documents
-), pos AS (
-  SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS i FROM tok
-), spans AS (
-  SELECT doc_id, i, 1 AS n, w AS term FROM pos
-  UNION ALL
-  SELECT doc_id, i, 2, w || ' ' || lead(w) OVER (PARTITION BY doc_id ORDER BY i) FROM pos
+_BORDER = r"[^\p{L}\p{N}_]"
+
+
+@query(rf"""
+WITH term AS (
+  SELECT DISTINCT lower(p_name) AS term FROM part UNION SELECT 'worthless' UNION SELECT 'of the' UNION SELECT 'the'
+), low AS (
+  SELECT doc_id, text, lower(text) AS t FROM documents
+), held AS (
+  SELECT doc_id, text, term,
+         regexp_extract(t, '(?s)^(.*?(?:^|{_BORDER}))' || regexp_escape(term) || '(?:$|{_BORDER})', 1) AS before
+  FROM low JOIN term ON contains(t, term)
+  WHERE regexp_matches(t, '(?:^|{_BORDER})' || regexp_escape(term) || '(?:$|{_BORDER})')
 )
-SELECT s.doc_id, arg_min(s.term, s.i * 10 - s.n) AS matched_phrase
-FROM spans s JOIN (SELECT DISTINCT lower(p_name) AS term FROM part
-                   UNION SELECT 'worthless' UNION SELECT 'of the' UNION SELECT 'the') d USING (term)
-GROUP BY s.doc_id
+SELECT doc_id, arg_min(substr(text, length(before) + 1, length(term)), length(before) * 1000 - length(term)) AS matched_phrase
+FROM held GROUP BY doc_id
 """)
 def mention_extract_by_join(spark, sf):
     extra = spark.createDataFrame([("worthless",), ("of the",), ("the",)], "term string")
     terms = table(spark, sf, "part").select(F.lower("p_name").alias("term")).distinct().union(extra)
     docs = texts(spark, sf).select("doc_id", "text")
-    found = matching.mentions_by_join(docs, "doc_id", "text", terms, longest=2)
-    return found.select("doc_id", "matched_phrase")
+    return matching.mentions_by_join(docs, "text", terms).select("doc_id", "matched_phrase")
+
+
+@query(rf"""
+WITH own AS (
+  SELECT DISTINCT 'the ' || p_name AS term FROM part
+  UNION SELECT DISTINCT p_name FROM part UNION SELECT 'idiot' UNION SELECT 'es' UNION SELECT 'of the,'
+), low AS (
+  SELECT doc_id, text, lower(text) AS t FROM documents
+), held AS (
+  SELECT doc_id, text, term,
+         regexp_extract(t, '(?s)^(.*?(?:^|{_BORDER}))' || regexp_escape(lower(term)) || '(?:$|{_BORDER})', 1) AS before
+  FROM low JOIN own ON contains(t, lower(term))
+  WHERE regexp_matches(t, '(?:^|{_BORDER})' || regexp_escape(lower(term)) || '(?:$|{_BORDER})')
+)
+SELECT doc_id, arg_min(substr(text, length(before) + 1, length(term)), length(before) * 1000 - length(term)) AS matched_phrase
+FROM held GROUP BY doc_id
+""")
+def mention_extract_large(spark, sf):
+    """A dictionary of two terms per part and some more, one with punctuation: more than one expression should hold."""
+    names = table(spark, sf, "part").select("p_name")
+    terms = names.select(F.explode(F.array("p_name", F.concat(F.lit("the "), "p_name"))).alias("term"))
+    terms = terms.union(spark.createDataFrame([("idiot",), ("es",), ("of the,",)], "term string"))
+    return matching.mentions(texts(spark, sf), "text", terms).select("doc_id", "matched_phrase")
 
 
 _PART_CELLS = ["p_name", "p_brand", "p_type"]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +29,7 @@ def store_and_score(store: Store, found: DataFrame, lexicon: DataFrame | None =
 def run_extract(
     store: Store,
     posts: DataFrame,
-    terms: Sequence[str],
+    terms: matching.Terms,
     run_ts: dt.datetime,
     target: int | None = None,
     lexicon: DataFrame | None = None,

@@ -1,7 +1,9 @@
 import datetime as dt
+import random
+import re
 
 from parley import schemas
-from parley.functions import text
+from parley.functions import automaton, text
 from parley.functions.patterns import alternation, leftmost_match
 from parley.operators import chunks, keys, matching, recency, threads
 from parley.sources import dictionary, files
@@ -63,14 +65,45 @@ def test_leftmost_longest_and_boundaries(spark):
     assert phrase(spark, ["ms", "MS"], ["MS"], ignore_case=False) == [None, "MS"]
 
 
-def test_join_match_equals_regex_match(spark):
-    terms = ["bank of america", "bank", "america", "pnc"]
-    texts = [(1, "The Bank of America, PNC"), (2, "pnc bank"), (3, "banks"), (4, "of America the bank")]
-    df = spark.createDataFrame(texts, "id int, t string")
-    by_regex = {r["id"]: r["matched_phrase"].lower() for r in matching.mentions(df, "t", terms).collect()}
+def test_all_matchers_agree(spark):
+    terms = ["bank of america", "bank", "america", "pnc", "U.S. Bancorp", "Größe", "e.on", "!!", "(uk)"]
+    texts = ["The Bank of America, PNC", "pnc bank", "banks", "of America the bank", "a u.s. BANCORP b", "xgröße GRÖSSE größe", "E.ON!!", "wow !!", "AIB (UK)", "bank  of america",
+             "\u0130bank Bank", "\u212a e.on", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    listed = spark.createDataFrame([(t,) for t in [*terms, ""]], "term string")
+    rows = lambda found: {r["id"]: r["matched_phrase"] for r in found.collect()}
+    expected = rows(matching.mentions(df, "t", terms))
+    assert expected[0] == "Bank of America" and expected[4] == "u.s. BANCORP" and expected[5] == "größe" and expected[6] == "E.ON" and 2 not in expected
+    assert rows(matching.mentions_by_automaton(df, "t", terms)) == expected
+    assert rows(matching.mentions_by_join(df, "t", listed)) == expected
+    assert rows(matching.mentions(df, "t", listed)) == expected
+    assert rows(matching.mentions(df, "t", listed.limit(0))) == {} == rows(matching.mentions_by_join(df, "t", listed.limit(0)))
+
+
+def test_ten_thousand_punctuated_terms(spark, monkeypatch):
+    """Terms that start alike, hold one another and end in marks: automaton, join and one regular expression find the same."""
+    draw = random.Random(6)
+    word = lambda: "".join(draw.choice("abé") for _ in range(draw.randint(1, 4)))
+    made = lambda: draw.choice(["{} {}", "{}.{}", "{}&{}!", "({}) {}", "{}", "{}-{} {}", "{}'s {}"]).replace("{}", "\x00")
+    fill = lambda t: "".join(word() if c == "\x00" else c for c in t)
+    terms = sorted({fill(made()) for _ in range(30000)} - {""})[:10000]
+    assert len(terms) == 10000
+    texts = [" ".join(draw.choice([word(), word(), "zz", draw.choice(terms).upper()]) + draw.choice(["", "", "!", ","]) for _ in range(draw.randint(0, 30))) for _ in range(300)]
+    texts += ["zz " * 50 for _ in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
     listed = spark.createDataFrame([(t,) for t in terms], "term string")
-    by_join = {r["id"]: r["matched_phrase"] for r in matching.mentions_by_join(df, "id", "t", listed, longest=3).collect()}
-    assert by_regex == by_join == {1: "bank of america", 2: "pnc", 4: "america"}
+    rows = lambda found: {r["id"]: r["matched_phrase"] for r in found.collect()}
+    wanted = sorted({automaton.fold(t) for t in terms}, key=lambda t: (-len(t), t))
+    expected = {}
+    for i, text in enumerate(texts):
+        low = automaton.fold(text)
+        hits = [(at, -len(t)) for t in wanted for at in [m.start() for m in re.finditer(re.escape(t), low)] if automaton.bounded(low, at, at + len(t))] if i < 60 else None
+        if hits:
+            expected[i] = text[min(hits)[0] : min(hits)[0] - min(hits)[1]]
+    by_machine = rows(matching.mentions(df, "t", listed))
+    assert {i: p for i, p in by_machine.items() if i < 60} == expected
+    monkeypatch.setattr(matching, "AUTOMATON_CHARS", 1000)
+    assert rows(matching.mentions(df, "t", listed)) == by_machine and len(by_machine) > 250
 
 
 RUN = dt.datetime(2024, 5, 10, 12, 0, 0)
