@@ -125,14 +125,3 @@ def template_expansion(spark, sf):
     return generate.fill_templates(
         posts, "post_id", generate.numbered(firms, "firm"), generate.given_numbers(templates), by_hash=False
     ).select("post_id", "content")
-
-
-@query()
-def generated_posts(spark, sf):
-    """As many posts as there are parts, templates and firms picked by a seeded hash."""
-    posts = table(spark, sf, "part").select(F.col("p_partkey").alias("post_id"))
-    firms = table(spark, sf, "supplier").select(F.col("s_name").alias("firm"))
-    templates = spark.createDataFrame(list(enumerate(TEMPLATES)), "template_id bigint, template string")
-    return generate.generate_posts(
-        posts, generate.numbered(firms, "firm"), generate.given_numbers(templates), seed=42
-    )

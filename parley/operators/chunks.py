@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from parley.operators.terms import order_block
+from parley.operators.keys import range_parts
+from parley.runtime import materialise
 
 # Characters per chunk.
 CHUNK_WIDTH = 1024
@@ -26,31 +27,29 @@ def joined_chunks(
 ) -> DataFrame:
     """``(topic, chunk_no, chunk)`` of every topic's texts joined in order by ``separator``.
 
-    No topic is ever joined: each text learns where it starts (running lengths inside a block of
-    texts plus the length of the blocks before), is cut where the chunk borders fall, and the parts
-    of one chunk, at most ``width`` characters, are put together.  A topic that holds a third of the
-    corpus is just more blocks and chunks.
+    No topic is ever joined: each text learns where it starts, is cut where the chunk borders fall, and the parts
+    of one chunk, at most ``width`` characters, are put together.  The starts come from a prefix scan of the lengths over
+    range partitions of (topic, order): running lengths inside a partition plus the sums of the topic's partitions
+    before, so no window is longer than a partition or than their number, however the order values lie.
     """
     gap = len(separator)
     texts = docs.where(F.col(text).isNotNull()).select(
         F.col(topic).alias("topic"),
         F.col(order).alias("ord"),
-        order_block(F.col(order)).alias("block"),
         F.col(text).alias("text"),
         (F.length(text).cast("bigint") + gap).alias("span"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    blocks = texts.groupBy("topic", "block").agg(F.sum("span").alias("span"))
-    earlier = Window.partitionBy("topic").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select("topic", "block", F.coalesce(F.sum("span").over(earlier), F.lit(0)).alias("base"))
-    # equal order values are told apart by their text, so a repeated task finds the same order
-    inside = (
-        Window.partitionBy("topic", "block")
-        .orderBy("ord", F.xxhash64("text"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    placed = texts.withColumn("within", F.coalesce(F.sum("span").over(inside), F.lit(0))).join(
-        blocks, ["topic", "block"]
-    )
+    texts = materialise(texts, "texts")
+    # equal order values are told apart by their text, so a repeated run finds the same order
+    order_by = ["ord", "tie", "row"]
+    spans = range_parts(texts.select("topic", "ord", F.xxhash64("text").alias("tie"), "row", "span"), ["topic", *order_by])
+    sums = spans.groupBy("topic", "part").agg(F.sum("span").alias("span"))
+    earlier = Window.partitionBy("topic").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("topic", "part", F.coalesce(F.sum("span").over(earlier), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("topic", "part").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    starts = spans.withColumn("within", F.coalesce(F.sum("span").over(inside), F.lit(0))).join(sums, ["topic", "part"])
+    placed = texts.join(starts.select("row", "base", "within"), "row")
     at = F.col("base") + F.col("within")
     pieces = placed.select(
         "topic",

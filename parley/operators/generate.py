@@ -2,29 +2,21 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parley.operators.keys import dense_order
 
-def numbered(df: DataFrame, order: str) -> DataFrame:
-    """Number a small dictionary 0..n-1 in order (``slot``) and carry n (``slots``).
 
-    For dictionaries only: the whole table is sorted in one task.
-    """
-    everything = Window.partitionBy()
-    return df.withColumns(
-        {
-            "slot": F.row_number().over(Window.orderBy(order)) - 1,
-            "slots": F.count("*").over(everything),
-        }
-    )
+def numbered(df: DataFrame, order: str) -> DataFrame:
+    """Number the rows 0..n-1 in order (``slot``) and carry n (``slots``); equal values are numbered one after the other."""
+    slots = dense_order(df, [order], "slot")
+    return slots.withColumn("slots", F.lit(df.count()))
 
 
 def given_numbers(templates: DataFrame) -> DataFrame:
     """The same for templates that already carry dense ids."""
-    return templates.select("template", F.col("template_id").alias("slot"), F.count("*").over(Window.partitionBy()).alias("slots"))
+    return templates.select("template", F.col("template_id").alias("slot"), F.lit(templates.count()).alias("slots"))
 
 
 def _pick(key: Column, slots: Column, seed: int, by_hash: bool) -> Column:
@@ -53,27 +45,3 @@ def fill_templates(
         .withColumn("content", F.expr("replace(template, '{}', firm)"))
         .drop("firm_slot", "template_slot")
     )
-
-
-def generate_posts(
-    posts: DataFrame,
-    firms: DataFrame,
-    templates: DataFrame,
-    seed: int = 42,
-    year_start: dt.datetime = dt.datetime(2024, 1, 1),
-    days: int = 365,
-    key: str = "post_id",
-) -> DataFrame:
-    """``(timestamp, tweet_content)`` per row of ``posts``; the same seed gives the same posts."""
-    second = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 2)), F.lit(days * 86_400))
-    stamp = F.timestamp_seconds(F.lit(int(year_start.replace(tzinfo=dt.timezone.utc).timestamp())) + second)
-    return fill_templates(posts, key, firms, templates, seed).select(
-        stamp.alias("timestamp"), F.col("content").alias("tweet_content")
-    )
-
-
-def generate_n_posts(
-    spark: SparkSession, n: int, firms: DataFrame, templates: DataFrame, seed: int = 42, **when
-) -> DataFrame:
-    """``n`` posts from nothing but the two dictionaries."""
-    return generate_posts(spark.range(n).withColumnRenamed("id", "post_id"), firms, templates, seed, **when)

@@ -37,13 +37,22 @@ def not_stored(new: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return new.join(collisions, key, "left_anti")
 
 
-def dense_order(df: DataFrame, order: Sequence[str], name: str = "ord") -> DataFrame:
+def range_parts(df: DataFrame, order: Sequence[Column | str], part: str = "part") -> DataFrame:
+    """``df`` written in range partitions by ``order``, numbered in that order in ``part``.
+
+    First pass of a prefix scan: sums and last words are taken per partition, and only these, one row per
+    partition, meet in order.
+    """
+    return materialise(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "parts")
+
+
+def dense_order(df: DataFrame, order: Sequence[Column | str], name: str = "ord") -> DataFrame:
     """Number all rows 0..n-1 by ``order`` (unique columns) without sorting them in one place.
 
     Rows are range-partitioned, written down with their partition, and numbered inside it; only the
     partition sizes, one row each, are summed up in order.
     """
-    placed = materialise(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ordered")
+    placed = range_parts(df, order, "__part")
     sizes = placed.groupBy("__part").agg(F.count("*").alias("__n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))

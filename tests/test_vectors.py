@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from parley.operators import coherence, components, density, distribution, embedding, generate, neighbours, representation, terms
+from parley.operators import chunks, coherence, components, density, distribution, embedding, generate, keys, neighbours, representation, terms
 from parley.plans import topic_model
 from pyspark.sql import functions as F
 
@@ -91,18 +91,54 @@ def corpus(spark, n=90):
     return spark.createDataFrame(rows, "id bigint, t string")
 
 
-def test_border_ngrams_equal_joined_text(spark, monkeypatch):
-    monkeypatch.setattr(terms, "ORDER_BLOCK", 4)
-    texts = ["aa bb cc", "", "dd", "ee", "", "ff gg", "hh", "ii jj kk ll"] * 3
-    df = spark.createDataFrame([("x", i, s) for i, s in enumerate(texts)], "topic string, id bigint, t string").repartition(5)
+@pytest.fixture
+def many_parts(spark):
+    """Range partitions stay apart on little data."""
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def sparse_corpus(spark, texts):
+    """Two topics, the ids of one spread over the whole range of a long."""
+    draw = random.Random(3)
+    ids = sorted(draw.randrange(-(2**62), 2**62) for _ in texts)
+    rows = [("x", i, s) for i, s in zip(ids, texts)] + [("y", i, s) for i, s in enumerate(texts)]
+    random.Random(4).shuffle(rows)
+    return spark.createDataFrame(rows, "topic string, id bigint, t string").repartition(5)
+
+
+def test_border_ngrams_equal_joined_text(spark, many_parts):
+    texts = ["aa bb cc", "", "dd", "ee", "", "ff gg", "hh", "ii jj kk ll"] * 6
     words = " ".join(texts).split()
     want = {}
     for n in (1, 2, 3):
         for i in range(len(words) - n + 1):
             gram = " ".join(words[i : i + n])
             want[gram] = want.get(gram, 0) + 1
-    got = {r["term"]: r["tf"] for r in terms.term_counts(df, "topic", "id", "t", stop_words=[]).collect()}
-    assert got == want
+    got = terms.term_counts(sparse_corpus(spark, texts), "topic", "id", "t", stop_words=[]).collect()
+    for topic in "xy":
+        assert {r["term"]: r["tf"] for r in got if r["topic"] == topic} == want
+
+
+def test_chunks_of_sparse_ids_equal_joined_text(spark, many_parts):
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("abc ") for _ in range(draw.choice([0, 1, 5, 40]))) for _ in range(120)]
+    got = chunks.joined_chunks(sparse_corpus(spark, texts), "topic", "id", "t", width=16).collect()
+    whole = " ".join(texts)
+    for topic in "xy":
+        pieces = [r["chunk"] for r in sorted((r for r in got if r["topic"] == topic), key=lambda r: r["chunk_no"])]
+        assert "".join(pieces) == whole and all(len(p) == 16 for p in pieces[:-1])
+
+
+def test_parts_are_few_and_short(spark, many_parts):
+    """The windows of a prefix scan see a partition's rows, or one row per partition; a topic that holds all rows is cut."""
+    df = sparse_corpus(spark, ["a"] * 700).where("topic = 'x'")
+    parts = keys.range_parts(df, ["topic", "id"]).groupBy("part").agg(F.count("*").alias("n"), F.min("id").alias("a"), F.max("id").alias("b"))
+    rows = sorted(parts.collect(), key=lambda r: r["part"])
+    assert len(rows) == 7 and max(r["n"] for r in rows) < 250 and all(x["b"] < y["a"] for x, y in zip(rows, rows[1:]))
 
 
 def test_topic_model_invariants(spark):
@@ -152,10 +188,11 @@ def test_embedding_with_a_model_runs_in_batches(spark):
     assert got == {1: [2.0, 1.0], 2: [4.0, 1.0]}
 
 
-def test_generated_posts_are_seeded(spark):
+def test_templates_are_filled_by_seed(spark):
     firms = generate.numbered(spark.createDataFrame([("A",), ("B",), ("C",)], "firm string"), "firm")
     templates = generate.numbered(spark.createDataFrame([("x {}",), ("{} y",)], "template string"), "template")
-    make = lambda seed: sorted(map(tuple, generate.generate_n_posts(spark, 200, firms, templates, seed=seed).collect()))
+    posts = spark.range(200).withColumnRenamed("id", "post_id")
+    make = lambda seed: sorted(map(tuple, generate.fill_templates(posts, "post_id", firms, templates, seed=seed).select("post_id", "content").collect()))
     first = make(1)
     assert first == make(1) != make(2) and len(first) == 200
     assert {c for _, c in first} == {f"x {f}" for f in "ABC"} | {f"{f} y" for f in "ABC"}
