@@ -1,14 +1,14 @@
-"""Density clusters on a grid: dense cells that touch grow together, sparse ones are outliers.
+"""Density clusters over the neighbour graph: whole vectors, however many dimensions.
 
-Points only ever meet their own cell.  They are counted per cell before anything is shuffled, and
-the graph is over occupied cells, so a cell that holds a third of the points costs one row.
+A point's core distance is that to its ``min_points``-th neighbour.  Two neighbours are linked at the larger of
+their distance and both core distances (mutual reachability, Campello et al. 2013), and links up to ``radius`` make clusters:
+the cut of the density tree at that level, for which the linked components are enough.  Points only meet the neighbours
+they have, so the graph has ``k`` edges a point; copies of one vector are neighbours like any others.
 """
 
 from __future__ import annotations
 
-from itertools import product
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parley.operators.components import connected_components
@@ -16,64 +16,29 @@ from parley.operators.terms import renumber
 from parley.runtime import materialise
 
 
-def grid_cell(coordinates: Column, side: float) -> Column:
-    """Cell of a low-dimensional point: whole-number coordinates joined by ``,``."""
-    return F.array_join(
-        F.transform(coordinates, lambda x: F.floor(x.cast("double") / F.lit(side)).cast("string")), ","
-    )
-
-
-def _touching(cells: DataFrame, dims: int) -> DataFrame:
-    """Every cell with the cells that touch it (itself left out), occupied or not."""
-    steps = [s for s in product((-1, 0, 1), repeat=dims) if any(s)]
-    at = F.transform(F.split("cell", ","), lambda x: x.cast("int"))
-    moved = F.array(*[F.array(*[F.lit(k) for k in s]) for s in steps])
-    shifted = F.transform(moved, lambda s: F.array_join(F.zip_with("at", s, lambda x, k: (x + k).cast("string")), ","))
-    return cells.withColumn("at", at).withColumn("near", F.explode(shifted)).drop("at")
+def reachability(neighbours: DataFrame, key: str, min_points: int) -> DataFrame:
+    """``(a, b, reach)`` per neighbour pair, from ``(key, neighbour, distance, rank)``; a point with fewer neighbours is never dense."""
+    core = neighbours.where(F.col("rank") == min_points).select(F.col(key).alias("point"), F.col("distance").alias("core"))
+    core = materialise(core, "core")
+    side = lambda name: core.select(F.col("point").alias(name), F.col("core").alias(f"core_{name}"))
+    pairs = neighbours.select(F.col(key).alias("a"), F.col("neighbour").alias("b"), "distance")
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b")
+    return pairs.select("a", "b", F.greatest("distance", "core_a", "core_b").alias("reach"))
 
 
 def density_clusters(
-    points: DataFrame, key: str, coordinates: str, dims: int, side: float, min_points: int, min_cluster_size: int = 10
+    points: DataFrame, neighbours: DataFrame, key: str, radius: float, min_points: int = 5, min_cluster_size: int = 10
 ) -> DataFrame:
     """``(key, topic)``: 0, 1, ... by falling size, ``-1`` for outliers.
 
-    A cell is dense when it and the cells that touch it hold ``min_points`` points.  Touching dense
-    cells form a cluster; another cell joins the best supported dense cell it touches.  Clusters
-    below ``min_cluster_size`` are outliers.
+    ``neighbours`` is ``(key, neighbour, distance, rank)`` with at least ``min_points`` ranks, exact or from an index.  Points
+    without a link up to ``radius``, and clusters of fewer than ``min_cluster_size`` points, are outliers.
     """
-    placed = points.select(F.col(key), grid_cell(F.col(coordinates), side).alias("cell"))
-    cells = materialise(placed.groupBy("cell").agg(F.count("*").alias("n")), "cells")
-    near = _touching(cells, dims).join(
-        cells.select(F.col("cell").alias("near"), F.col("n").alias("near_n")), "near"
-    )
-    support = (
-        cells.join(near.groupBy("cell").agg(F.sum("near_n").alias("around")), "cell", "left")
-        .select("cell", "n", (F.col("n") + F.coalesce("around", F.lit(0))).alias("support"))
-        .withColumn("dense", F.col("support") >= min_points)
-    )
-    support = materialise(support, "support")
-    dense = support.where("dense").select("cell", "support")
-    near = near.select("cell", "near")
-    edges = near.join(dense.select("cell"), "cell").join(dense.select(F.col("cell").alias("near")), "near")
-    component = connected_components(
-        dense.select(F.col("cell").alias("node")), edges.select(F.col("cell").alias("a"), F.col("near").alias("b"))
-    ).withColumnRenamed("node", "cell")
-    best = (
-        support.where("NOT dense")
-        .select("cell")
-        .join(near, "cell")
-        .join(dense.select(F.col("cell").alias("near"), "support"), "near")
-        .groupBy("cell")
-        .agg(F.min_by("near", F.struct(-F.col("support"), "near")).alias("near"))
-        .join(component.withColumnRenamed("cell", "near"), "near")
-        .select("cell", "component")
-    )
-    label = component.unionByName(best)
-    sizes = cells.join(label, "cell").groupBy(F.col("component").alias("topic")).agg(F.sum("n").alias("size"))
+    links = materialise(reachability(neighbours, key, min_points).where(F.col("reach") <= radius).select("a", "b"), "links")
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node"))
+    component = materialise(connected_components(nodes, links), "components")
+    sizes = component.groupBy(F.col("component").alias("topic")).agg(F.count("*").alias("size"))
     numbered = renumber(sizes.where(F.col("size") >= min_cluster_size))
-    cell_topic = label.join(
-        numbered.select(F.col("topic").alias("component"), F.col("topic_id").alias("topic")), "component"
-    )
-    return placed.join(materialise(cell_topic.select("cell", "topic"), "cell-topic"), "cell", "left").select(
-        key, F.coalesce("topic", F.lit(-1)).cast("int").alias("topic")
-    )
+    topics = numbered.select(F.col("topic").alias("component"), F.col("topic_id").alias("topic"))
+    placed = component.join(topics, "component").select(F.col("node").alias(key), "topic")
+    return points.select(key).join(placed, key, "left").select(key, F.coalesce("topic", F.lit(-1)).cast("int").alias("topic"))

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from parley.operators import chunks, coherence, components, density, distribution, embedding, generate, keys, neighbours, representation, terms
+from parley.operators import chunks, coherence, components, density, distribution, embedding, generate, keys, neighbour_index, neighbours, representation, terms
 from parley.plans import topic_model
 from pyspark.sql import functions as F
 
@@ -52,13 +52,66 @@ def test_components_random_and_chain(spark):
     assert {r["node"]: r["component"] for r in got.collect()} == {n: find(n) for n in range(170)}
 
 
-def test_density_hot_cell_and_outliers(spark):
+def plain_density(m, radius, min_points, smallest, k):
+    """DBSCAN* over the k nearest of every point, by a plain search."""
+    d = np.round(np.linalg.norm(m[:, None] - m[None], axis=2), 9)
+    order = [sorted((x, j) for j, x in enumerate(row) if j != i)[:k] for i, row in enumerate(d)]
+    core = [o[min_points - 1][0] for o in order]
+    links = {i: set() for i in range(len(m))}
+    for i, near in enumerate(order):
+        for x, j in near:
+            if max(x, core[i], core[j]) <= radius:
+                links[i].add(j)
+                links[j].add(i)
+    label, groups = {}, []
+    for i in range(len(m)):
+        if i not in label and links[i]:
+            todo, group = [i], {i}
+            while todo:
+                for j in links[todo.pop()] - group:
+                    group.add(j)
+                    todo.append(j)
+            label.update(dict.fromkeys(group, len(groups)))
+            groups.append(group)
+    kept = sorted((g for g in groups if len(g) >= smallest), key=lambda g: (-len(g), min(g)))
+    return {i: next((t for t, g in enumerate(kept) if i in g), -1) for i in range(len(m))}
+
+
+def test_density_of_whole_vectors_against_a_plain_search(spark):
+    """Blobs in 16 dimensions, one with a third of the points as copies, a bridge of sparse points and outliers."""
     rng = np.random.default_rng(2)
-    blobs = [rng.normal(c, 0.05, size=(n, 2)) for c, n in (((0, 0), 300), ((5, 5), 60))]
-    rows = [(i, p.tolist()) for i, p in enumerate(np.concatenate(blobs + [np.array([[9.0, -9.0], [-9.0, 9.0]])]))]
-    df = spark.createDataFrame(rows, "id int, p array<double>")
-    got = {r["id"]: r["topic"] for r in density.density_clusters(df, "id", "p", 2, side=0.1, min_points=5).collect()}
-    assert got[0] == 0 and got[301] == 1 and got[360] == -1 and got[361] == -1 and len(got) == 362
+    centres = 4 * rng.normal(size=(4, 16))
+    m = np.concatenate([c + 0.15 * rng.normal(size=(n, 16)) for c, n in zip(centres, (70, 40, 25, 7))] + [6 * rng.normal(size=(15, 16))])
+    m = np.concatenate([m, np.repeat(m[:1], 80, axis=0), np.linspace(centres[0], centres[1], 12)])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(m)], "id bigint, p array<double>")
+    near = keys.materialise(neighbours.nearest_neighbours(df, "id", "p", 8, "euclidean"), "near")
+    for radius, smallest in ((0.9, 10), (0.9, 5), (3.0, 10)):
+        got = {r["id"]: r["topic"] for r in density.density_clusters(df, near, "id", radius, 5, smallest).collect()}
+        assert got == plain_density(m, radius, 5, smallest, 8)
+    assert {r["topic"] for r in density.density_clusters(df, near.limit(0), "id", 1.0).collect()} == {-1}
+
+
+@pytest.mark.parametrize("metric", ["cosine", "euclidean"])
+def test_neighbour_index_recall(spark, metric):
+    """At least nine in ten of the true neighbours, for clustered and for spread vectors, with a third of all rows near one place."""
+    rng = np.random.default_rng(8)
+    clustered = rng.normal(size=(30, 24))[rng.integers(0, 30, 900)] + 0.3 * rng.normal(size=(900, 24))
+    crowd = clustered[0] + 0.01 * rng.normal(size=(600, 24))
+    m = np.concatenate([clustered, crowd, rng.normal(size=(250, 24)), np.repeat(clustered[5:6], 40, axis=0)])
+    df = spark.createDataFrame([(3 * i, v.tolist()) for i, v in enumerate(m)] + [(-1, None)], "id bigint, v array<double>")
+    got = {}
+    for r in neighbour_index.approximate_neighbours(df, "id", "v", 10, metric, block=128).collect():
+        got.setdefault(r["id"], {})[r["rank"]] = (r["neighbour"], r["distance"])
+    u = m / np.linalg.norm(m, axis=1, keepdims=True) if metric == "cosine" else m
+    d = 1 - u @ u.T if metric == "cosine" else np.linalg.norm(u[:, None] - u[None], axis=2)
+    np.fill_diagonal(d, np.inf)
+    assert set(got) == {3 * i for i in range(len(m))} and all(sorted(x) == list(range(1, 11)) for x in got.values())
+    found = 0
+    for i, row in enumerate(d):
+        cut = np.partition(row, 9)[9] + 1e-8
+        found += sum(d[i, n // 3] <= cut for n, _ in got[3 * i].values())
+        assert all(abs(d[i, n // 3] - x) < 1e-6 for n, x in got[3 * i].values())
+    assert found >= 0.9 * 10 * len(m)
 
 
 def test_mmr_against_plain_loop(spark):
