@@ -62,17 +62,20 @@ dull{n} AS (
   FROM (SELECT *, min(r) OVER (PARTITION BY topic, chunk_no, g) AS best FROM gram{n}) WHERE best < r),
 cand{n} AS (
   SELECT *, row_number() OVER (PARTITION BY topic, chunk_no ORDER BY r) AS nth
-  FROM (SELECT topic, chunk_no, i, r, s, len(w) AS n FROM sent{n} JOIN rank{n} USING (topic, chunk_no, i))
+  FROM (SELECT topic, chunk_no, i, r, s, len(w) AS n, length(s) AS c FROM sent{n} JOIN rank{n} USING (topic, chunk_no, i))
   ANTI JOIN dull{n} USING (topic, chunk_no, r)),
 pick{n} AS (
   SELECT topic, chunk_no, list_reduce(
-    list_prepend({{'words': 0, 'taken': []::BIGINT[], 'n': 0, 'i': 0}},
-                 list({{'words': 0, 'taken': []::BIGINT[], 'n': n, 'i': i}} ORDER BY nth)),
-    lambda a, b: CASE WHEN len(a.taken) = 0 OR (a.words < 40 AND a.words + b.n <= 150)
-      THEN {{'words': a.words + b.n, 'taken': list_append(a.taken, b.i), 'n': 0, 'i': 0}} ELSE a END).taken AS taken
+    list_prepend({{'words': 0, 'used': 0, 'taken': []::BIGINT[], 'n': 0, 'c': 0, 'i': 0}},
+                 list({{'words': 0, 'used': 0, 'taken': []::BIGINT[], 'n': n, 'c': c, 'i': i}} ORDER BY nth)),
+    lambda a, b: CASE WHEN len(a.taken) = 0 OR (a.words < 40 AND a.words + b.n <= 150 AND a.used + 1 + b.c <= 512)
+      THEN {{'words': a.words + b.n, 'used': a.used + b.c + CASE WHEN a.used > 0 THEN 1 ELSE 0 END,
+             'taken': list_append(a.taken, b.i), 'n': 0, 'c': 0, 'i': 0}} ELSE a END).taken AS taken
   FROM cand{n} GROUP BY 1, 2),
 made{n} AS (
-  SELECT topic, chunk_no, left(string_agg(s, ' ' ORDER BY i), 512) AS summary
+  SELECT topic, chunk_no, string_agg(
+    CASE WHEN c <= 512 THEN s
+         ELSE coalesce(nullif(regexp_extract(left(s, 513), '(?s)^(.*[^ \t\r\n\f\v])[ \t\r\n\f\v]', 1), ''), left(s, 512)) END, ' ' ORDER BY i) AS summary
   FROM cand{n} JOIN pick{n} USING (topic, chunk_no) WHERE list_contains(taken, i) GROUP BY 1, 2),
 s{n} AS MATERIALIZED (SELECT topic, chunk_no, coalesce(summary, '') AS summary FROM c{n} LEFT JOIN made{n} USING (topic, chunk_no)),
 last{n} AS (SELECT topic, max(chunk_no) AS last FROM s{n} GROUP BY 1),

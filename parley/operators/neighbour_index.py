@@ -48,7 +48,7 @@ _FOUND = "key bigint, neighbour bigint, distance double"
 
 
 def approximate_neighbours(
-    df: DataFrame, key: str, vector: str, k: int = 10, metric: str = "cosine", tables: int = 6, block: int = 256, seed: int = 7
+    df: DataFrame, key: str, vector: str, k: int = 10, metric: str = "cosine", tables: int = 10, block: int = 256, seed: int = 7
 ) -> DataFrame:
     """``(key, neighbour, distance, rank)``: about the ``k`` nearest other rows of every row.
 

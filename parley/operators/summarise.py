@@ -20,42 +20,54 @@ NO_REPEAT = 3
 
 _SENTENCE = re.compile(r"(?<=[.!?])[ \t\r\f\v]+|\s*\n+\s*")
 _WORD = re.compile(r"\w{2,}")
+_WORDS_THAT_FIT = re.compile(r"(.*[^ \t\r\n\f\v])[ \t\r\n\f\v]", re.S)
 
 
-def extract_sentences(text: str, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS, max_chars: int = 512) -> str:
+def _fitted(sentence: str, room: int) -> str:
+    """A sentence that is too long for any summary ends at the last white space that fits; one long word is cut."""
+    if len(sentence) <= room:
+        return sentence
+    whole = _WORDS_THAT_FIT.match(sentence[: room + 1])
+    return whole.group(1) if whole else sentence[:room]
+
+
+def extract_sentences(text: str, min_words: int = MIN_WORDS, max_words: int = MAX_WORDS, room: int = CHUNK_WIDTH // 2) -> str:
     """The sentences with the most frequent words, in text order (Nenkova & Vanderwende 2005).
 
     A sentence that repeats three words in a row of a better one is left out.  Sentences are taken
-    until ``min_words`` are reached; one that would pass ``max_words`` is skipped unless it is the
-    first.  The result is at most ``max_chars`` long, so joining summaries always shrinks the text.
+    until ``min_words`` are reached; one that would pass ``max_words``, or ``room`` characters in all, is skipped.
+    The first is always taken, up to the last word that fits.  Summaries are whole sentences, then, and at most half a
+    chunk long, so joining them always shrinks the text.
     """
     split = [(s, _WORD.findall(s.lower())) for s in _SENTENCE.split(text)]
     split = [(s.strip(), w) for s, w in split if w]
     count = Counter(word for _, words in split for word in words)
     total = sum(count.values())
     score = [round(sum(count[w] for w in words) / (total * len(words)), 9) for _, words in split]
-    seen, taken, length = set(), [], 0
+    seen, taken, length, used = set(), [], 0, 0
     for i in sorted(range(len(split)), key=lambda i: (-score[i], i)):
-        words = split[i][1]
+        sentence, words = split[i]
         grams = {tuple(words[j : j + NO_REPEAT]) for j in range(len(words) - NO_REPEAT + 1)}
         fresh = not (grams & seen)
         seen |= grams
-        if fresh and (not taken or (length < min_words and length + len(words) <= max_words)):
+        fits = length < min_words and length + len(words) <= max_words and used + 1 + len(sentence) <= room
+        if fresh and (not taken or fits):
             taken.append(i)
             length += len(words)
-    return " ".join(split[i][0] for i in sorted(taken))[:max_chars]
+            used += len(sentence) + (used > 0)
+    return " ".join(_fitted(split[i][0], room) for i in sorted(taken))
 
 
 Summariser = Callable[[Column], Column]
 
 
-def extractive(min_words: int = MIN_WORDS, max_words: int = MAX_WORDS, max_chars: int = CHUNK_WIDTH // 2) -> Summariser:
+def extractive(min_words: int = MIN_WORDS, max_words: int = MAX_WORDS, room: int = CHUNK_WIDTH // 2) -> Summariser:
     """The default summariser as a column function.  A model goes in its place as
     ``predict_batch_udf(load_model, return_type=StringType(), batch_size=...)``, loaded once a worker."""
 
     @F.pandas_udf(T.StringType())
     def best_sentences(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: extract_sentences(t, min_words, max_words, max_chars))
+        return texts.map(lambda t: extract_sentences(t, min_words, max_words, room))
 
     return best_sentences
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 import json
 
 import pytest
@@ -97,6 +98,12 @@ def test_summary_rules():
     both = summarise.extract_sentences(text, min_words=40)
     assert not ("today" in both and "again" in both)
     assert summarise.extract_sentences("") == "" and len(summarise.extract_sentences("x" * 1024)) == 512
+    long = " ".join(f"word{i}" for i in range(300))
+    cut = summarise.extract_sentences(long)
+    assert long.startswith(cut + " ") and 500 < len(cut) <= 512
+    pair = [" ".join(f"{w}{i}" for i in range(30)) + "." for w in ("first", "second", "third")]
+    whole = summarise.extract_sentences(" ".join(pair))
+    assert len(whole) <= 512 and whole and all(s in pair for s in re.findall(r"[^.]+\.", whole.replace(". ", ".")))
 
 
 def test_hot_topic_is_summarised_level_by_level(spark):
