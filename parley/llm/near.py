@@ -33,7 +33,7 @@ from parley.runtime import materialise
 
 MANTISSA = 10
 EMPTY = np.uint16(65535)
-# A block holds about this many classes, and a block of sets at most about this many shingles.
+# A block of an estimate holds about this many classes, a block of sets about this many shingles.
 BLOCK_CLASSES = 512
 BLOCK_SHINGLES = 1 << 17
 
@@ -293,8 +293,8 @@ def _confirmed(docs: DataFrame, classes: DataFrame, family: DataFrame, like: Lik
 
     chosen = docs.join(wanted.where("doc_id is not null").withColumnRenamed("doc_id", "wanted_id"), F.col("doc_id") == F.col("wanted_id"))
     chosen = chosen.select("root", "node", "set_key", "text")
-    nameless = wanted.where("doc_id is null").select("root", "node", F.col("set_key").alias("wanted_key"))
-    if not nameless.isEmpty():
+    if not classes.where("doc_id is null").isEmpty():
+        nameless = wanted.where("doc_id is null").select("root", "node", F.col("set_key").alias("wanted_key"))
         # Classes whose texts all lack an id are met by their set; one text of each is enough.
         keyed = map_rows(docs.where("doc_id is null"), "set_key binary, text binary", lambda batch: _keyed(batch, like))
         one = keyed.groupBy("set_key").agg(F.first("text").alias("text"))
@@ -302,8 +302,7 @@ def _confirmed(docs: DataFrame, classes: DataFrame, family: DataFrame, like: Lik
         chosen = chosen.unionByName(met.select("root", "node", "set_key", "text"))
     sets = map_rows(chosen, "fam long, cls long, n long, hashes binary", build)
     sets = materialise(sets, "sets")
-    blocks = F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_CLASSES))
-    sizes = sets.groupBy("fam").agg(blocks.alias("nb"), F.min("cls").alias("pivot"))
+    sizes = sets.groupBy("fam").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("nb"), F.min("cls").alias("pivot"))
     sizes = materialise(sizes, "families")
     none_large = sizes.where("nb > 1").isEmpty()
     read = lambda column: [np.frombuffer(b, np.uint64) for b in column.to_pylist()]

@@ -36,7 +36,7 @@ def test_rows_without_an_id_link_others(spark, docs_of):
 
 
 def test_families_of_many_small_texts_are_cut_into_blocks(spark, docs_of, monkeypatch):
-    monkeypatch.setattr(near, "BLOCK_CLASSES", 8)
+    monkeypatch.setattr(near, "BLOCK_SHINGLES", 800)
     draw = random.Random(2)
     texts = chain(draw, 40) + [f"lone{i} " * 3 + f"x{i} y{i}" for i in range(10)]
     order = list(range(len(texts)))
