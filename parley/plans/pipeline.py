@@ -19,11 +19,11 @@ EXTRACT = "extract"
 
 
 def store_and_score(store: Store, found: DataFrame, lexicon: DataFrame | None = None) -> None:
-    """Append new comments and their sentiment; both appends are safe to repeat."""
-    comments = clean_comments(found)
-    store.insert_new_comments(comments)
-    scores = sentiment.sentiment_scores(comments, "comment_id", "comment", lexicon)
-    store.update_sentiment(scores.select("comment_id", "compound", "sentiment"))
+    """Append new comments and their sentiment, under the same day; both appends are safe to repeat."""
+    comments = clean_comments(found).withColumn("key", F.struct("comment_id", F.to_date("comment_date").alias("day")))
+    store.insert_new_comments(comments.drop("key"))
+    scores = sentiment.sentiment_scores(comments, "key", "comment", lexicon)
+    store.update_sentiment(scores.select("key.*", "compound", "sentiment"))
 
 
 def run_extract(

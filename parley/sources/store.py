@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +13,7 @@ from parley import schemas
 from parley.operators.keys import first_seen, not_stored
 from parley.operators.recency import moment
 from parley.runtime import materialise
+from parley.sources import keyfilter
 
 # Default start when no run has been recorded.
 DEFAULT_START = dt.timedelta(days=1)
@@ -20,8 +22,9 @@ DEFAULT_START = dt.timedelta(days=1)
 class Store:
     """Tables below one shared folder.
 
-    ``comments`` is partitioned by day, so a look-back reads only its days.  The key
-    constraint is kept by ``append_new``: first-wins inside the batch, then an anti join.
+    ``comments`` and ``sentiment`` are partitioned by the day of the comment, so a look-back reads only
+    its days.  The key constraint is kept by ``append_new``: first-wins inside the batch, then an anti
+    join with the days whose key filters let a key of the batch through, whatever day it now comes under.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -55,24 +58,45 @@ class Store:
 
         The batch is met twice (which keys collide, which rows stay), so it is written down first.  Of
         copies in a batch the earliest by ``time`` stays; ties go by a hash of the whole row, so the
-        choice does not depend on the order of the input.  A key belongs to one partition of a table
-        partitioned by a date of it, so only the batch's span of partitions is read.
+        choice does not depend on the order of the input.  Of a partitioned table only those partitions
+        are read whose key filters may hold a key of the batch.  New filters are written before the rows:
+        a run lost in between leaves a filter that lets too much through, never one that hides a key.
         """
         whole = F.xxhash64(*[c for c in rows.columns])
         once = materialise(first_seen(rows, [key], [*([time] if time else []), whole]), f"{name}-batch")
         stored = self.read(name, schema)
-        if partition_by:
-            span = once.agg(F.min(partition_by), F.max(partition_by)).first()
-            stored = stored.where(F.col(partition_by).between(F.lit(span[0]), F.lit(span[1])) | F.col(partition_by).isNull())
-        self.append(name, not_stored(once, stored, key), schema, partition_by)
+        if not partition_by:
+            self.append(name, not_stored(once, stored, key), schema)
+            return
+        parts = keyfilter.parts_that_may_hold(self.key_filters(name, key, schema, partition_by), once, key)
+        new = materialise(not_stored(once, in_parts(stored, partition_by, parts), key), f"{name}-new")
+        self._write_filters(name, keyfilter.build(new, key, partition_by), "append")
+        self.append(name, new, schema, partition_by)
+
+    def key_filters(self, name: str, key: str, schema: T.StructType, partition_by: str) -> DataFrame:
+        """The key filters of a partitioned table, made from its rows if none have been written yet."""
+        shape = keyfilter.schema(schema[partition_by].dataType)
+        try:
+            filters = self.read(f"{name}-keys", shape)
+            if filters.inputFiles():
+                return filters
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        self._write_filters(name, keyfilter.build(self.read(name, schema), key, partition_by), "overwrite")
+        return self.read(f"{name}-keys", shape)
+
+    def _write_filters(self, name: str, filters: DataFrame, mode: str) -> None:
+        filters.write.mode(mode).parquet(self._path(f"{name}-keys"))
 
     # -- the three tables of the pipeline ------------------------------------------------------
 
     COMMENTS_STORED = T.StructType(schemas.COMMENTS.fields + [T.StructField("day", T.DateType())])
+    SENTIMENT_STORED = T.StructType(schemas.SENTIMENT.fields + [T.StructField("day", T.DateType())])
 
     def create_tables(self) -> None:
         self.create("comments", self.COMMENTS_STORED, "day")
-        self.create("sentiment", schemas.SENTIMENT)
+        self.create("sentiment", self.SENTIMENT_STORED, "day")
         self.create("topic_summaries", schemas.TOPIC_SUMMARIES)
 
     def comments(self) -> DataFrame:
@@ -83,13 +107,15 @@ class Store:
         self.append_new("comments", dated, "comment_id", self.COMMENTS_STORED, "day", "comment_date")
 
     def update_sentiment(self, rows: DataFrame) -> None:
-        self.append_new("sentiment", rows, "comment_id", schemas.SENTIMENT)
+        """``rows`` may carry the ``day`` of their comment; without it they go under no day."""
+        dated = rows if "day" in rows.columns else rows.withColumn("day", F.lit(None).cast("date"))
+        self.append_new("sentiment", dated, "comment_id", self.SENTIMENT_STORED, "day")
 
     def update_topic_summaries(self, rows: DataFrame) -> None:
         self.append("topic_summaries", rows, schemas.TOPIC_SUMMARIES)
 
     def existing_ids(self, name: str) -> DataFrame:
-        schema = self.COMMENTS_STORED if name == "comments" else schemas.SENTIMENT
+        schema = self.COMMENTS_STORED if name == "comments" else self.SENTIMENT_STORED
         return self.read(name, schema).select("comment_id")
 
     def recent_comments(self, run_ts: dt.datetime, n_days: int = 7) -> DataFrame:
@@ -113,6 +139,13 @@ class Store:
         self.append("last_run", row, schemas.LAST_RUN)
 
 
+def in_parts(df: DataFrame, column: str, values: list) -> DataFrame:
+    """Rows of the partitions ``values``, where None stands for the one without a value."""
+    given = [v for v in values if v is not None]
+    kept = F.col(column).isin(given) if given else F.lit(False)
+    return df.where(kept | F.col(column).isNull() if None in values else kept)
+
+
 def latest_date(df: DataFrame, column: str = "date") -> dt.date | None:
     """Newest date of a table; None when it is empty."""
     return df.agg(F.max(F.to_date(column))).first()[0]

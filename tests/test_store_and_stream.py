@@ -6,8 +6,8 @@ import pytest
 from parley import schemas
 from parley.operators import summarise
 from parley.plans import pipeline
-from parley.sources import files
-from parley.sources.store import Store, due_today, latest_date
+from parley.sources import files, keyfilter
+from parley.sources.store import Store, due_today, in_parts, latest_date
 from parley.streaming import ingest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,3 +147,42 @@ def test_earlier_day_is_not_due_again_and_first_copy_wins(spark, tmp_path):
         schema = "comment_id string, post_title string, subreddit string, comment_date timestamp, comment string, matched_phrase string, upvotes long"
         store.insert_new_comments(spark.createDataFrame([rows[i] for i in order], schema))
         assert [r.comment for r in store.comments().collect()] == ["first"]
+
+
+def test_a_key_that_returns_under_another_day_is_not_stored_again(spark, store):
+    store.insert_new_comments(comments(spark, "a", "b", day=3).unionByName(comments(spark, "c", day=9)))
+    undated = comments(spark, "n").withColumn("comment_date", F.lit(None).cast("timestamp"))
+    store.insert_new_comments(undated)
+    store.insert_new_comments(comments(spark, "a", "d", "n", day=8).unionByName(comments(spark, "c", day=1)))
+    got = sorted((r["comment_id"], r["day"] and r["day"].day) for r in store.comments().collect())
+    assert got == [("a", 3), ("b", 3), ("c", 9), ("d", 8), ("n", None)]
+    scored = lambda day: spark.createDataFrame([("a", 0.5, "POSITIVE", dt.date(2024, 5, day))], Store.SENTIMENT_STORED)
+    for day in (3, 8):
+        store.update_sentiment(scored(day))
+    assert [r["day"].day for r in store.read("sentiment", Store.SENTIMENT_STORED).collect()] == [3]
+
+
+def test_key_filters_prune_the_days_that_are_read(spark, store):
+    for day in range(1, 9):
+        store.insert_new_comments(comments(spark, *(f"{day}-{i}" for i in range(400)), day=day))
+    filters = store.key_filters("comments", "comment_id", Store.COMMENTS_STORED, "day")
+    ask = lambda *ids: sorted(d.day for d in keyfilter.parts_that_may_hold(filters, comments(spark, *ids), "comment_id"))
+    assert ask("3-7", "5-399") == [3, 5] and all(day in ask(*(f"{day}-{i}" for i in range(400))) for day in range(1, 9))
+    strange = spark.range(20_000).select(F.concat(F.lit("x"), "id").alias("comment_id"))
+    probed = filters.select(F.col("part").alias("day"), F.col("blocks")).distinct().collect()
+    assert {r["blocks"] for r in probed} == {64}
+    wrong = sum(len(keyfilter.parts_that_may_hold(filters, strange.where(F.col("comment_id") == f"x{i}"), "comment_id")) for i in range(5))
+    assert wrong <= 2
+    plan = in_parts(store.comments(), "day", [dt.date(2024, 5, 3), dt.date(2024, 5, 5)])
+    assert len({f.split("day=")[1][:10] for f in plan.inputFiles()}) >= 2
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*day", text)
+    assert {r["day"].day for r in plan.select("day").distinct().collect()} == {3, 5}
+
+
+def test_key_filters_are_made_for_a_store_that_has_none(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "old"))
+    store.create_tables()
+    store.append("comments", comments(spark, "a", day=2).withColumn("day", F.to_date("comment_date")), Store.COMMENTS_STORED, "day")
+    store.insert_new_comments(comments(spark, "a", "b", day=7))
+    assert sorted(r["comment_id"] for r in store.comments().collect()) == ["a", "b"]
