@@ -8,9 +8,10 @@ owners looks live, in however many repositories, and such wider candidates becom
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from parley.functions.text import let
 from parley.runtime import materialise
 
 # The patterns of the base kinds, in the order of their rank.
@@ -28,28 +29,37 @@ SPAN = "array<struct<start:int,end:int,value:string>>"
 def occurrences(text: Column, pattern: str, group: int = 0) -> Column:
     """All leftmost matches as ``array<struct<start, end, value>>`` in code points; ``value`` is the group's text.
 
-    What lies between matches and the matches themselves alternate, so their lengths give the places.
+    What lies between matches and the matches themselves alternate, so their lengths give the places.  They are
+    summed up in chunks of the root of their number, whose sums are summed up first: no fold grows an array longer
+    than that.
     """
     parts = F.arrays_zip(
         F.split(text, pattern, -1).alias("gap"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hit"),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"),
     )
-    step = lambda acc, x: F.struct(
-        (acc.at + F.length(x.gap) + F.length(x.hit)).alias("at"),
-        F.concat(
-            acc.out,
-            F.array(
-                F.struct(
-                    (acc.at + F.length(x.gap)).alias("start"),
-                    (acc.at + F.length(x.gap) + F.length(x.hit)).alias("end"),
-                    x.value.alias("value"),
-                )
-            ),
-        ).alias("out"),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    return F.aggregate(F.filter(parts, lambda x: x.hit.isNotNull()), start, step, lambda acc: acc.out)
+    none = F.array().cast(SPAN)
+    width = lambda x: F.length(x.gap) + F.length(x.hit)
+    end = lambda at, x: at + width(x)
+
+    def step(acc: Column, x: Column) -> Column:
+        span = F.struct((acc.at + F.length(x.gap)).alias("start"), end(acc.at, x).alias("end"), x.value.alias("value"))
+        return F.struct(end(acc.at, x).alias("at"), F.concat(acc.out, F.array(span)).alias("out"))
+
+    def from_chunks(chunks: Column) -> Column:
+        total = lambda chunk: F.aggregate(chunk, F.lit(0), end)
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        add = lambda acc, n: F.struct((acc.at + n).alias("at"), F.concat(acc.out, F.array(acc.at)).alias("out"))
+        bases = F.aggregate(F.transform(chunks, total), start, add, lambda acc: acc.out)
+        inside = lambda both: F.aggregate(both.chunk, F.struct(both.base.alias("at"), none.alias("out")), step, lambda acc: acc.out)
+        return F.flatten(F.transform(F.arrays_zip(chunks.alias("chunk"), bases.alias("base")), inside))
+
+    def spans(found: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(found))).cast("int")
+        firsts = F.sequence(F.lit(1), F.size(found), size)
+        return F.when(F.size(found) > 0, let(F.transform(firsts, lambda k: F.slice(found, k, size)), from_chunks)).otherwise(none)
+
+    return let(F.filter(parts, lambda x: x.hit.isNotNull()), spans)
 
 
 def _when(test: Column, spans: Column) -> Column:
@@ -75,7 +85,8 @@ def scan(docs: DataFrame, max_owners: int = 2, id_col: str = "doc_id", text_col:
     candidate is a span only if it is live.  ``n_repositories`` is the most repositories that hold the value of
     one of the row's spans, 0 without any; it decides nothing.  Spans are ``kind:start:end`` in code points by
     start, then kind.  A null text is an empty one.  A null owner or repository counts as one more value.  Rows
-    repeated under one id are scanned each.  Empty tables give no rows; other columns are not read.
+    repeated under one id are scanned each.  Very long texts are scanned whole, at a cost that grows about with their
+    length however many matches they hold.  Empty tables give no rows; other columns, of whatever names, are not read.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = docs.select(
@@ -93,13 +104,16 @@ def scan(docs: DataFrame, max_owners: int = 2, id_col: str = "doc_id", text_col:
     base = F.concat(*(_tagged(F.col(kind), rank) for rank, kind in enumerate(KINDS[:3])))
     mixed = lambda x: x.value.rlike("[0-9]") & x.value.rlike("[A-Za-z]") & ~x.value.rlike("^[0-9a-f]+$")
     spans = found.select("row", "doc_id", "owner", "repository", base.alias("base"), _tagged(F.filter("wider", mixed), 3).alias("wider"))
-    spans = spans.withColumn(
-        "wider", F.filter("wider", lambda w: ~F.exists("base", lambda b: (b.start < w.end) & (w.start < b.end)))
-    )
     spans = materialise(spans, "spans")
 
     each = spans.select("row", "owner", "repository", F.explode(F.concat("base", "wider")).alias("span"))
     each = each.select("row", "owner", "repository", "span.*")
+    # A wider candidate goes if a base span overlaps it: of those that start before its end, one ends after its start.
+    base_span = F.col("rank") < 3
+    along = Window.partitionBy("row").orderBy(F.when(base_span, F.col("start")).otherwise(F.col("end")), base_span)
+    reach = F.max(F.when(base_span, F.col("end"))).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    each = each.withColumn("reach", F.coalesce(reach, F.lit(0))).where(base_span | (F.col("reach") <= F.col("start"))).drop("reach")
+    each = materialise(each, "each")
     owners = each.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one")).groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
     spread = owners.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
     spread = materialise(spread, "spread")
