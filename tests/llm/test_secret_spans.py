@@ -10,10 +10,13 @@ def brute(text):
     found = [(m.start(), 0, m.end()) for m in re.finditer(secrets.ASSIGN, text) if len(m.group(2)) >= 8]
     found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
     found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 32]
+    covered = bytearray(len(text))
+    for start, _, end in found:
+        covered[start:end] = b"\1" * (end - start)
     wider = []
     for m in re.finditer(r"[A-Za-z0-9_+/-]+", text):
         mixed = re.search("[0-9]", m.group()) and re.search("[A-Za-z]", m.group()) and not re.fullmatch("[0-9a-f]+", m.group())
-        if len(m.group()) >= 24 and mixed and all(e <= m.start() or s >= m.end() for s, _, e in found):
+        if len(m.group()) >= 24 and mixed and not any(covered[m.start() : m.end()]):
             wider.append((m.start(), 3, m.end()))
     return ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in sorted(found + wider))
 
