@@ -2,7 +2,7 @@
 
 The number of windows that hold a word, or both words of a pair, follows from where the words stand:
 between two neighbouring positions the next occurrence of each word is fixed, so the window starts
-in between are counted by subtraction.  Only the top words' positions are ever unnested.
+in between are counted by subtraction.  Words meet the top words by a join, so the list of these may be of any length.
 """
 
 from __future__ import annotations
@@ -19,10 +19,8 @@ WINDOW, EPSILON = 110, 1e-12
 def window_counts(tokens: DataFrame, pairs: DataFrame, width: int = WINDOW) -> DataFrame:
     """``(a, b, n)``: windows that hold both words of a pair (``a = b`` for one word)."""
     legs = pairs.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("word"), "a", "b").distinct()
-    words = [r[0] for r in pairs.select(F.explode(F.array("a", "b"))).distinct().collect()]
-    spots = F.transform(F.col("t"), lambda w, i: F.when(w.isin(words), F.struct(w.alias("word"), i.alias("pos"))))
     hits = tokens.select(
-        "ord", F.greatest(F.size("t") - width, F.lit(0)).alias("last_start"), F.inline(F.array_compact(spots))
+        "ord", F.greatest(F.size("t") - width, F.lit(0)).alias("last_start"), F.posexplode("t").alias("pos", "word")
     )
     # from the last position to the first, so "the next one" is a running value
     backwards = Window.partitionBy("ord", "a", "b").orderBy(F.desc("pos"))
