@@ -42,7 +42,8 @@ class Store:
         writer.parquet(self._path(name))
 
     def read(self, name: str, schema: T.StructType) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self._path(name))
+        """The columns of ``schema``; a partition column it does not name is left out."""
+        return self.spark.read.schema(schema).parquet(self._path(name)).select(schema.names)
 
     def append(self, name: str, rows: DataFrame, schema: T.StructType, partition_by: str | None = None) -> None:
         """Append by column name (case-insensitive); an empty frame adds nothing."""
