@@ -6,15 +6,16 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from parley.functions.text import flesch_reading_ease, ngrams, words_and_marks
+from parley.functions.text import flesch_reading_ease, let, ngrams, words_and_marks
 from parley.runtime import small_side
 
 # Label order of the class report.
 LABELS = ("NEGATIVE", "NEUTRAL", "POSITIVE")
+# Words of a text that are compared with as many of the other at a time.
+MATCH_BLOCK = 1024
 
 
 def _or_zero(value: Column) -> Column:
@@ -112,22 +113,29 @@ def rouge_n(pairs: DataFrame, n: int, reference: str = "reference", generated: s
     return scored.withColumn("f", _f1(F.col("p"), F.col("r"))).drop("_g", "_r")
 
 
-@F.pandas_udf(T.LongType())
-def common_subsequence(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Length of the longest common subsequence of two word arrays, bit-parallel (Hyyro 2004)."""
+def common_subsequence(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two word arrays, as a fold over the words of ``b``.
 
-    def length(x, y) -> int:
-        where: dict[str, int] = {}
-        for i, word in enumerate(x):
-            where[word] = where.get(word, 0) | (1 << i)
-        full = (1 << len(x)) - 1
-        row = full
-        for word in y:
-            hit = row & where.get(word, 0)
-            row = ((row + hit) | (row - hit)) & full
-        return len(x) - row.bit_count()
+    The state holds, for every length, the first place of ``a`` where a common subsequence of that length ends
+    (Hunt & Szymanski 1977), as the odd number ``2 * place + 1``.  A word's places in ``a``, as even numbers, are
+    sorted into it: what follows a place of the word is replaced by it, what follows an end stays.
+    """
+
+    def places(x: Column, w: Column) -> Column:
+        return F.array_compact(F.transform(x, lambda v, i: F.when(v == w, 2 * i)))
+
+    def step(ends: Column, hits: Column) -> Column:
+        merged = lambda s: F.filter(s, lambda _, i: (i == 0) | (F.get(s, i - 1) % 2 == 1))
+        return F.transform(let(F.sort_array(F.concat(ends, hits)), merged), lambda v: v.bitwiseOR(F.lit(1)))
+
+    def fold(p: Column, order: Column) -> Column:
+        return F.aggregate(order, F.array().cast("array<int>"), lambda ends, k: step(ends, F.get(p, (k - 1).cast("int"))), F.size)
 
-    return pd.Series([length(x, y) for x, y in zip(a, b)])
+    def of(x: Column, y: Column, shared: Column) -> Column:
+        order = F.filter(F.transform(y, lambda w: F.array_position(shared, w)), lambda k: k > 0)
+        return let(F.transform(shared, lambda w: places(x, w)), lambda p: fold(p, order))
+
+    return let(a, lambda x: let(b, lambda y: let(F.array_intersect(x, y), lambda shared: of(x, y, shared))))
 
 
 def rouge_l(pairs: DataFrame, reference: str = "reference", generated: str = "generated") -> DataFrame:
@@ -179,39 +187,54 @@ def corpus_bleu(
 
 
 def token_match(
-    pairs: DataFrame, key: Sequence[str], vectors: DataFrame, reference: str = "reference", generated: str = "generated"
+    pairs: DataFrame, key: Sequence[str], vectors: DataFrame, reference: str = "reference", generated: str = "generated",
+    block: int = MATCH_BLOCK,
 ) -> DataFrame:
     """``(key, precision, recall, f1)``: every word matched to the most similar word of the other text.
 
-    ``vectors`` is ``(token, vector)``; words without one are left out.  Words are joined once per
-    pair and side with their counts; the word-by-word similarities of a pair stay inside one array.
+    ``vectors`` is ``(token, vector)``; words without one are left out, a pair without words on one side scores 0.
+    Distinct words of a pair are numbered and packed in blocks of at most ``block``; each block meets the other
+    text's blocks one at a time and the greatest likeness of a word is kept, so no row holds a whole pair.
     """
-    token = lambda c, s: F.transform(plain_words(F.lower(c)), lambda w: F.struct(w.alias("token"), F.lit(s).alias("side")))
+    token = lambda c, s: F.transform(plain_words(F.coalesce(F.lower(c), F.lit(""))), lambda w: F.struct(w.alias("token"), F.lit(s).alias("side")))
     counted = (
         pairs.select(*key, F.inline(F.concat(token(generated, "g"), token(reference, "r"))))
         .groupBy(*key, "token", "side")
         .agg(F.count("*").alias("n"))
         .join(small_side(vectors.select("token", "vector")), "token")
     )
-    of = lambda s: F.collect_list(F.when(F.col("side") == s, F.struct("n", "vector")))
-    packed = counted.groupBy(*key).agg(of("g").alias("g"), of("r").alias("r"))
-
-    @F.pandas_udf("precision double, recall double")
-    def match(gn: pd.Series, gv: pd.Series, rn: pd.Series, rv: pd.Series) -> pd.DataFrame:
-        out = []
-        for g_n, g_v, r_n, r_v in zip(gn, gv, rn, rv):
-            if not len(g_n) or not len(r_n):
-                out.append((0.0, 0.0))
-                continue
-            a, b = np.stack(g_v).astype(np.float64), np.stack(r_v).astype(np.float64)
-            a /= np.maximum(np.linalg.norm(a, axis=1, keepdims=True), 1e-300)
-            b /= np.maximum(np.linalg.norm(b, axis=1, keepdims=True), 1e-300)
-            like = a @ b.T
-            out.append((np.average(like.max(1), weights=g_n), np.average(like.max(0), weights=r_n)))
-        return pd.DataFrame(out, columns=["precision", "recall"])
-
-    scored = packed.select(*key, match("g.n", "g.vector", "r.n", "r.vector").alias("s"))
-    return scored.select(*key, "s.precision", "s.recall").withColumn("f1", _f1(F.col("precision"), F.col("recall")))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy("side", "token"))
+    blocks = (
+        counted.withColumn("block", F.floor((place - 1) / block).cast("int"))
+        .groupBy(*key, "side", "block")
+        .agg(F.collect_list(F.struct("n", "vector")).alias("words"))
+    )
+    of = lambda s: blocks.where(F.col("side") == s).select(
+        *key, F.col("block").alias(f"{s}b"), F.col("words.n").alias(f"{s}n"), F.col("words.vector").alias(f"{s}v")
+    )
+
+    @F.pandas_udf("g array<double>, r array<double>")
+    def likeness(gv: pd.Series, rv: pd.Series) -> pd.DataFrame:
+        def unit(v) -> np.ndarray:
+            m = np.stack(v).astype(np.float64)
+            return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+
+        tiles = [unit(g) @ unit(r).T for g, r in zip(gv, rv)]
+        return pd.DataFrame({"g": [t.max(1) for t in tiles], "r": [t.max(0) for t in tiles]})
+
+    met = of("g").join(of("r"), list(key)).withColumn("best", likeness("gv", "rv"))
+    words = lambda s: F.transform(
+        F.arrays_zip(F.col(f"{s}n").alias("n"), F.col(f"best.{s}").alias("best")),
+        lambda w, i: F.struct(F.lit(s).alias("side"), F.col(f"{s}b").alias("block"), i.alias("i"), w["n"].alias("n"), w["best"].alias("best")),
+    )
+    best = met.select(*key, F.inline(F.concat(words("g"), words("r")))).groupBy(*key, "side", "block", "i").agg(
+        F.first("n").alias("n"), F.max("best").alias("best")
+    )
+    mean = lambda s: F.sum(F.when(F.col("side") == s, F.col("n") * F.col("best"))) / F.sum(F.when(F.col("side") == s, F.col("n")))
+    scored = best.groupBy(*key).agg(mean("g").alias("precision"), mean("r").alias("recall"))
+    one_sided = blocks.groupBy(*key).agg(F.count_distinct("side").alias("sides")).where("sides = 1")
+    scored = scored.unionByName(one_sided.select(*key, F.lit(0.0).alias("precision"), F.lit(0.0).alias("recall")))
+    return scored.withColumn("f1", _f1(F.col("precision"), F.col("recall")))
 
 
 def mean_token_match(scored: DataFrame) -> DataFrame:
@@ -219,14 +242,20 @@ def mean_token_match(scored: DataFrame) -> DataFrame:
     return scored.agg(*(F.avg(c).alias(c) for c in ("precision", "recall", "f1")))
 
 
-def evaluate_summaries(pairs: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row of corpus means: ROUGE-1, -2 and -L (p, r, f), readability of the generated text, BLEU.
+def evaluate_summaries(pairs: DataFrame, key: Sequence[str], vectors: DataFrame | None = None) -> DataFrame:
+    """One row of corpus means: ROUGE-1, -2 and -L (p, r, f), readability of the generated text, BLEU and, with
+    ``vectors`` of the words, the token match.
 
-    All per-pair scores are columns of one pass; BLEU pools its own counts.
+    All scores of a pair without shuffle are columns of one pass; BLEU and the token match pool their own words.
     """
     scored, parts = pairs, ("p", "r", "f")
     for name, score in (("rouge1", lambda d: rouge_n(d, 1)), ("rouge2", lambda d: rouge_n(d, 2)), ("rougel", rouge_l)):
         scored = score(scored).withColumnsRenamed({c: f"{name}_{c}" for c in parts})
     means = [F.avg(f"{name}_{c}").alias(f"{name}_{c}") for name in ("rouge1", "rouge2", "rougel") for c in parts]
     readable = F.avg(flesch_reading_ease(F.col("generated"))).alias("readability")
-    return scored.agg(*means, readable).withColumn("bleu", corpus_bleu(pairs, key).scalar())
+    report = scored.agg(*means, readable).withColumn("bleu", corpus_bleu(pairs, key).scalar())
+    if vectors is None:
+        return report
+    matched = mean_token_match(token_match(pairs, key, vectors))
+    means = matched.select(F.struct("*")).scalar()
+    return report.withColumns({f"match_{c}": means[c] for c in matched.columns})

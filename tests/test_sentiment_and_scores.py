@@ -112,6 +112,38 @@ def test_rouge_l_against_plain_dynamic_programme(spark):
         assert got[i] == pytest.approx(table[-1][-1] / len(b) if b else 0.0)
 
 
+def test_long_texts_without_python_rows(spark):
+    """Texts of thousands of words: equal to one another but for a cut, and with one word throughout."""
+    words = [f"w{i * i % 997}" for i in range(4000)]
+    rows = [(1, " ".join(words), " ".join(words[:1500] + words[1700:])), (2, "a " * 3000, "a " * 2000), (3, "", "a"), (4, "a", None)]
+    scored = evaluation.rouge_l(spark.createDataFrame(rows, "id int, reference string, generated string"))
+    assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
+    got = {r["id"]: r["p"] for r in scored.collect()}
+    assert got == {1: 1.0, 2: 1.0, 3: 0.0, 4: 0.0}
+
+
+@pytest.mark.parametrize("block", [3, 1024])
+def test_token_match_equals_a_plain_loop(spark, block):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    known = {w: [rng.uniform(-1, 1) for _ in range(4)] for w in "abcdefghij"}
+    rows = [(i, " ".join(rng.choices("abcdefghijkl", k=30)), " ".join(rng.choices("abcdefghijkl", k=20))) for i in range(8)] + [(8, "a b", "k l"), (9, "k", "l"), (10, None, "a")]
+    pairs = spark.createDataFrame(rows, "id int, reference string, generated string")
+    vectors = spark.createDataFrame(list(known.items()), "token string, vector array<double>")
+    got = {r["id"]: (r["precision"], r["recall"]) for r in evaluation.token_match(pairs, ["id"], vectors, block=block).collect()}
+    likeness = lambda v, w: np.dot(known[v], known[w]) / np.linalg.norm(known[v]) / np.linalg.norm(known[w])
+    assert set(got) == {*range(9), 10}
+    for i, a, b in rows:
+        r, g = ([w for w in (t or "").split() if w in known] for t in (a, b))
+        if r and g:
+            assert got[i] == pytest.approx((np.mean([max(likeness(w, v) for v in r) for w in g]), np.mean([max(likeness(w, v) for v in g) for w in r])))
+        elif r or g:
+            assert got[i] == (0.0, 0.0)
+
+
 def test_bleu_counts_are_not_shuffled_after_the_join(spark):
     turns = spark.createDataFrame([(1, 0, "user", "a b"), (1, 1, "assistant", "a c")], "conv_id int, turn int, role string, text string")
     pairs = evaluation.dialogue_pairs(turns).hint("merge")
