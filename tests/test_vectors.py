@@ -114,12 +114,14 @@ def test_neighbour_index_recall(spark, metric):
     assert found >= 0.9 * 10 * len(m)
 
 
-def test_mmr_against_plain_loop(spark):
+@pytest.mark.parametrize("pool", [1, 1000])
+def test_mmr_against_plain_loop(spark, pool):
+    """Also with a pool that leaves candidates out at first, so that it has to grow."""
     rng = np.random.default_rng(4)
     m, centre = rng.normal(size=(25, 4)), rng.normal(size=4)
     cand = spark.createDataFrame([(1, f"t{i:02d}", v.tolist()) for i, v in enumerate(m)], "topic int, term string, vector array<double>")
     topics = spark.createDataFrame([(1, centre.tolist())], "topic int, centroid array<double>")
-    got = [r["term"] for r in representation.diverse_pick(cand, topics, k=6).orderBy("rank").collect()]
+    got = [r["term"] for r in representation.diverse_pick(cand, topics, k=6, pool=pool).orderBy("rank").collect()]
     u, c = m / np.linalg.norm(m, axis=1, keepdims=True), centre / np.linalg.norm(centre)
     taken = [int((u @ c).argmax())]
     while len(taken) < 6:
