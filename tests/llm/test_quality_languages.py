@@ -126,3 +126,13 @@ def test_repeated_rows_count_each(spark, docs_of):
     rows = corpus()[:12] * 2 + [(None, "a b", None)]
     got = quality.judge(docs_of(*rows), RULES).collect()
     assert len(got) == 25 and sum(r.kept for r in got) == 24
+
+
+def test_words_are_learned_from_every_text(spark):
+    """Nine words of exactly a fifth of 3,000 texts each: a sample of them would miss some."""
+    filler = " ".join(f"f{i}x" for i in range(10))
+    rows = [(i, " ".join(f"{filler}{i} word{k}" if not k else f"word{k}" for k in range(9) if (i + k) % 5 == 0) or f"{filler}{i}", "en") for i in range(3000)]
+    rows = [(i, t if len(t.split()) >= 10 else f"{filler}{i} {t}", lang) for i, t, lang in rows]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    words = quality.common_words(quality._rows(table), quality.Rules(top_words=30))["en"]
+    assert {w for w in words if w.startswith("word")} == {f"word{k}" for k in range(9)}
