@@ -178,6 +178,38 @@ def test_border_ngrams_equal_joined_text(spark, many_parts):
         assert {r["term"]: r["tf"] for r in got if r["topic"] == topic} == want
 
 
+@pytest.mark.parametrize("low, high", [(1, 1), (2, 2), (2, 4), (3, 4), (1, 5)])
+def test_ngrams_of_any_length_equal_joined_text(spark, many_parts, low, high):
+    texts = ["aa bb aa bb cc", "", "aa", "bb", "", "aa bb", "cc", "aa bb cc dd aa bb"] * 4
+    words = " ".join(texts).split()
+    want = {}
+    for n in range(low, high + 1):
+        for i in range(len(words) - n + 1):
+            want[gram] = want.get(gram := " ".join(words[i : i + n]), 0) + 1
+    got = terms.term_counts(sparse_corpus(spark, texts), "topic", "id", "t", low, high, stop_words=[]).collect()
+    for topic in "xy":
+        assert {r["term"]: r["tf"] for r in got if r["topic"] == topic} == want
+
+
+def test_long_terms_are_shuffled_once(spark):
+    """Counts, frequencies and products of a term's topics all happen where its first two words were sent."""
+    weights = terms.corpus_weights(corpus(spark).withColumn("topic", F.col("id") % 3), "topic", "id", "t")
+    plan = weights.select("topic", "term", "weight")._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any("term#" in line for line in exchanges)
+    assert sum("anchor#" in line and "topic#" not in line for line in exchanges) == 1
+
+
+def test_tagged_terms_against_a_plain_loop(spark):
+    rows = [("x", "aa", 5.0), ("x", "aa bb", 4.0), ("x", "aa cc bb", 9.0), ("x", "bb aa aa", 3.0), ("y", "cc", 7.0), ("y", "bb", 1.0)]
+    weights = spark.createDataFrame(rows, "topic string, term string, weight double")
+    tags = spark.createDataFrame([("aa", "N"), ("bb", "N"), ("bb", "N"), ("cc", "V")], "token string, tag string")
+    found = terms.tagged_terms(weights, tags, ["N"])
+    assert sorted((r["topic"], r["term"], r["rank"]) for r in found.collect()) == [("x", "aa", 1), ("x", "aa bb", 2), ("x", "bb aa aa", 3), ("y", "bb", 1)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any("token" in line for line in plan.splitlines() if "Exchange hashpartitioning" in line)
+
+
 def test_chunks_of_sparse_ids_equal_joined_text(spark, many_parts):
     draw = random.Random(5)
     texts = ["".join(draw.choice("abc ") for _ in range(draw.choice([0, 1, 5, 40]))) for _ in range(120)]
