@@ -1,4 +1,6 @@
 import math
+import random
+import re
 
 import pytest
 from parley.operators import evaluation, sentiment
@@ -149,3 +151,26 @@ def test_bleu_counts_are_not_shuffled_after_the_join(spark):
     pairs = evaluation.dialogue_pairs(turns).hint("merge")
     plan = evaluation.corpus_bleu(pairs, ["conv_id", "turn"])._jdf.queryExecution().executedPlan().toString()
     assert "gram" not in "".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+def test_bleu_of_single_pairs_makes_no_gram_rows_and_pools_repeated_keys(spark):
+    draw = random.Random(8)
+    sentence = lambda: " ".join(draw.choice(["a", "b", "c", "d.", "e,"]) for _ in range(draw.randint(0, 9)))
+    rows = [(i // 2 if i < 8 else i, sentence(), sentence()) for i in range(30)] + [(40, None, "a b"), (41, "a b", None)]
+    pairs = spark.createDataFrame(rows, "id int, reference string, generated string")
+    made, given = {}, {}
+    for i, r, g in rows:
+        for box, t in ((made, g), (given, r)):
+            words = re.findall(r"\w+|[^\w\s]", t or "")
+            for n in range(1, 5):
+                for k in range(len(words) - n + 1):
+                    box[(i, *words[k : k + n])] = box.get((i, *words[k : k + n]), 0) + 1
+    total = [sum(v for k, v in made.items() if len(k) == n + 1) for n in range(1, 5)]
+    hits = [sum(min(v, given.get(k, 0)) for k, v in made.items() if len(k) == n + 1) for n in range(1, 5)]
+    length, ref = total[0], sum(v for k, v in given.items() if len(k) == 2)
+    assert min(hits) > 0
+    want = 100 * min(1.0, math.exp(1 - ref / length)) * math.exp(sum(math.log(h / t) for h, t in zip(hits, total)) / 4)
+    scored = evaluation.corpus_bleu(pairs, ["id"])
+    assert scored.first()["bleu"] == pytest.approx(want)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "(rows#" in plan
