@@ -54,7 +54,6 @@ def write_archive(pages: DataFrame, path: str, least_revisit: int = 1000, id_col
     keys = rows.select(
         "page_id", "url", F.octet_length("payload").alias("length"), F.sha1("payload").alias("sha1"), F.unhex(F.sha2("payload", 256)).alias("digest")
     )
-    keys = materialise(keys, "records")
     holders = keys.where((F.col("length") >= least_revisit) & F.col("page_id").isNotNull())
     holders = holders.groupBy("digest").agg(F.count("*").alias("n"), F.max("page_id").alias("holder")).where("n > 1")
     holders = materialise(holders.select("digest", "holder"), "holders")

@@ -224,3 +224,13 @@ def test_pipeline_stages_bear_odd_rows(spark, docs_of):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, table, SF)
             assert out.count() <= table.count() and (name == "shards" or out.columns == docs.columns)
+
+
+def test_archive_keeps_no_copy_of_its_record_keys(spark, tmp_path, monkeypatch):
+    labels, kept = [], warc.materialise
+    monkeypatch.setattr(warc, "materialise", lambda df, label: labels.append((label, df.columns)) or kept(df, label))
+    pages = spark.createDataFrame([(i, f"u{i}", "x" * 2000 if i < 3 else f"y{i}") for i in range(5)], "page_id long, url string, html string")
+    warc.write_archive(pages, str(tmp_path / "archive"))
+    assert labels == [("holders", ["digest", "holder"])]
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read_archive(spark, str(tmp_path / "archive")).collect()}
+    assert got == {0: ("revisit", 2), 1: ("revisit", 2), 2: ("response", None), 3: ("response", None), 4: ("response", None)}
