@@ -274,6 +274,20 @@ def test_distribution_of_a_pure_text(spark):
     assert words.where("score <= 0").isEmpty()
 
 
+def test_terms_meet_texts_with_plain_numbers_of_their_topics(spark):
+    """What comes back to a text with every n-gram are two lists of numbers, the counts adding up to the term's frequency."""
+    df = corpus(spark).withColumn("topic", F.col("id") % 3)
+    weights = terms.term_weights(terms.term_counts(df, "topic", "id", "t"))
+    numbers = distribution.number_topics(weights)
+    met = distribution.term_topics(weights, numbers)
+    assert dict(met.dtypes) == {"term": "string", "idf": "double", "nrs": "array<int>", "tfs": "array<bigint>"}
+    of = {r["topic"]: r["nr"] for r in numbers.collect()}
+    want = {}
+    for r in weights.collect():
+        want.setdefault(r["term"], set()).add((of[r["topic"]], r["tf"]))
+    assert {r["term"]: set(zip(r["nrs"], r["tfs"])) for r in met.collect()} == want
+
+
 def test_window_counts_against_brute_force(spark):
     rng = random.Random(11)
     docs = [[rng.choice("abcdefgh") * 2 for _ in range(rng.randint(1, 40))] for _ in range(30)]
