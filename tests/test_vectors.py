@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -130,6 +131,32 @@ def test_mmr_against_plain_loop(spark, pool):
     assert got == [f"t{i:02d}" for i in taken]
 
 
+def test_sparse_candidates_equal_arrays_in_a_bounded_pool(spark, monkeypatch):
+    """Sparse vectors give the picks of arrays and of a plain loop, many equal scores included, and a pool grows by ``pool`` rows ``k`` times at most."""
+    words = ["cat", "dog", "owl", "fox", "hen"]
+    names = sorted({" ".join(p) for n in (1, 2, 3) for p in itertools.product(words, repeat=n)})
+    docs = spark.createDataFrame([(i, w) for i, w in enumerate(names + ["cat owl", "owl fox fox", "plain sea"])], "id int, t string")
+    arrays, fitted = embedding.embed(docs, "id", "t")
+    cand = spark.createDataFrame([(7, w) for w in names], "topic int, term string").select(F.struct("topic", "term").alias("key"), "term")
+    form = lambda sparse: embedding.embed(cand, "key", "term", fitted=fitted, sparse=sparse)[0].select("key.*", F.col("embedding").alias("vector"))
+    topics = representation.centroids(arrays.withColumn("topic", F.lit(7)), "topic", "embedding").localCheckpoint()
+    held, greedy = [], representation._greedy
+    monkeypatch.setattr(representation, "_greedy", lambda pool, *a: held.append(pool.count()) or greedy(pool, *a))
+    picks = lambda sparse: [r["term"] for r in representation.diverse_pick(form(sparse), topics, k=5, pool=2).orderBy("rank").collect()]
+    closest = lambda sparse: [(r["term"], r["similarity"]) for r in representation.rerank(form(sparse), topics, k=40).orderBy("rank").collect()]
+
+    rows = {r["term"]: np.array(r["vector"], float) for r in form(False).collect()}
+    u = {w: v / np.linalg.norm(v) for w, v in rows.items()}
+    c = np.array(topics.first()["centroid"])
+    near = {w: round(float(v @ c / np.linalg.norm(c)), 9) for w, v in u.items()}
+    taken = [min(names, key=lambda w: (-near[w], w))]
+    while len(taken) < 5:
+        score = lambda w: round(0.7 * near[w] - 0.3 * max(round(float(u[w] @ u[t]), 9) for t in taken), 9)
+        taken.append(min((w for w in names if w not in taken), key=lambda w: (-score(w), -near[w], w)))
+    assert picks(True) == picks(False) == taken and max(held) <= 5 + 5 * 2 and len(held) <= 2 * 6
+    assert closest(True) == closest(False) and len(closest(True)) == 40
+
+
 def test_membership_rows_sum_to_one(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors(30, 3))], "id int, v array<double>")
     centres = spark.createDataFrame([(0, [0.0, 0.0, 0.0]), (1, [1.0, 1.0, 1.0])], "topic int, centroid array<double>")
@@ -327,3 +354,16 @@ def test_recent_topics_without_example_texts(spark):
     info = topic_model.recent_topics(posts, "tweet_content", 7, run, k=3, min_cluster_size=2)
     assert "representative_docs" not in info.columns and {"keybert", "mmr", "name"} <= set(info.columns)
     assert info.agg(F.sum("size")).first()[0] == 48
+
+
+def test_term_vectors_are_sparse_and_not_shuffled(spark, monkeypatch):
+    """A term's vector has as many numbers as words, each distinct term is embedded once, where its rows were written."""
+    written, write = {}, topic_model.materialise
+    monkeypatch.setattr(topic_model, "materialise", lambda df, label: written.setdefault(label, (df, write(df, label)))[1])
+    model = topic_model.fit_topics(corpus(spark), "id", "t", k=4, min_cluster_size=12)
+    plan, table = written["term-vectors"]
+    rows = table.collect()
+    assert all(1 <= len(r["vector"]["values"]) == len(r["vector"]["indices"]) <= 3 for r in rows)
+    assert sorted((r["topic"], r["term"]) for r in rows) == sorted((r["topic"], r["term"]) for r in model.weights.collect())
+    assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert "topics" not in model.weights.columns
