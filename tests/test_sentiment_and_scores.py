@@ -2,6 +2,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from parley.operators import evaluation, sentiment
 from pyspark.sql import functions as F
@@ -174,3 +175,24 @@ def test_bleu_of_single_pairs_makes_no_gram_rows_and_pools_repeated_keys(spark):
     assert scored.first()["bleu"] == pytest.approx(want)
     plan = scored._jdf.queryExecution().optimizedPlan().toString()
     assert "ArrowEvalPython" in plan and "(rows#" in plan
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_token_match_tasks_grow_with_the_texts(spark, monkeypatch, small):
+    """A task holds the words of a bounded part of the pairs, also of those that share a key, whichever way vectors are met."""
+    draw = np.random.default_rng(3)
+    word = [f"w{i:03d}" for i in range(200)]
+    text = lambda n: " ".join(draw.choice(word, n))
+    rows = [(i if i < 60 else 7, text(20), text(15)) for i in range(120)] + [(None, text(5), ""), (300, text(5), ""), (301, "zz", "yy")]
+    pairs = spark.createDataFrame(rows, "id int, reference string, generated string")
+    vectors = spark.createDataFrame([(w, draw.normal(size=4).tolist()) for w in word], "token string, vector array<double>")
+    want = {r["id"]: (r["precision"], r["recall"]) for r in evaluation.token_match(pairs, ["id"], vectors).collect()}
+    written, write = [], evaluation.materialise
+    monkeypatch.setattr(evaluation, "materialise", lambda df, label: written.append(df) or write(df, label))
+    if not small:
+        monkeypatch.setattr(evaluation, "small_side", lambda df: df)
+    got = {r["id"]: (r["precision"], r["recall"]) for r in evaluation.token_match(pairs, ["id"], vectors, chars=500).collect()}
+    assert set(got) == set(want) == {None, 300, *range(60)} and all(got[k] == pytest.approx(want[k]) for k in want)
+    parts = written[0].groupBy(F.spark_partition_id()).count().collect()
+    words = written[0].count()
+    assert len(parts) >= 30 and max(r["count"] for r in parts) < words / 8
